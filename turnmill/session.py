@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,26 +33,40 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return b.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point the context at ``spark.checkpoint.dir``; only where that is unset (tests, one machine) make a folder.
+_own: dict[str, str] = {}
 
-    On a cluster the setting must name storage that all executors share.
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, which all executors share.
+
+    Only where that is unset (tests, one machine) a temporary folder takes its place.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = os.path.join(tempfile.gettempdir(), f"turnmill-checkpoints-{os.getpid()}")
-    sc.setCheckpointDir(path)
-    return path
+        path = _own.setdefault("", tempfile.mkdtemp(prefix="turnmill-"))
+    return path.rstrip("/")
+
+
+def durable(df: DataFrame, *partition_by: str) -> DataFrame:
+    """``df`` as a table written to the shared folder: computed once, with no lineage, safe from lost executors.
+
+    A checkpoint would compute the rows twice, once to count and once to write. The folder goes when the process ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/turnmill-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(schema).parquet(path)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session has ended before: its folder goes with it
+        if path.startswith("/"):
+            shutil.rmtree(path, ignore_errors=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
