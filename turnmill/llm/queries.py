@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.llm.sentences import lay_out_all, sentences, train
+from turnmill.llm.turns import item_rows, mark, runs_of_one_person, settle_speakers
 from turnmill.operators.current import current_rows
 from turnmill.session import durable, table
 
@@ -23,5 +24,35 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("transcript_id", F.col("turn_index").cast("long").alias("turn_index"), F.col("end_char"))
 
 
-QUERIES = {"p1_found": p1_found}
+def _marked_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current turns with their spans and the person who speaks."""
+    cols = [*TURN, "text", "speaker_id", "speaker_name", "loaded_at"]
+    now = current_rows(table(spark, sf_dir, "turns").select(*cols), TURN, "loaded_at", [F.col("text"), F.col("speaker_id"), F.col("speaker_name")])
+    marked = durable(mark(now, TURN, "text", "speaker_id", "speaker_name"))
+    bench, speakers = table(spark, sf_dir, "bench"), table(spark, sf_dir, "speakers")
+    people = speakers.select("speaker_id", "name").unionByName(bench.select("speaker_id", "name"))
+    tr = current_rows(table(spark, sf_dir, "transcripts").select("id", "term", "metadata.speakers", "loaded_at"), ["id"], "loaded_at")
+    listed = tr.select(F.col("id").alias("transcript_id"), F.explode("speakers").alias("s")).select("transcript_id", F.col("s.id").alias("speaker_id"))
+    present = marked.select("transcript_id", "speaker_id").where("speaker_id is not null").distinct().unionByName(listed)
+    terms = tr.select(F.col("id").alias("transcript_id"), F.expr("try_cast(term as int)").alias("year"))
+    # the bench is a table of fixed size
+    chiefs = terms.join(F.broadcast(bench.where("role = 'chief_justice'")), F.col("year").between(F.col("first_term"), F.col("last_term"))).select("transcript_id", "speaker_id")
+    # where terms leave it open, the chief who is known to speak there
+    seated = present.join(F.broadcast(bench.where("role = 'chief_justice'").select("speaker_id")), "speaker_id").select("transcript_id", "speaker_id")
+    one = seated.groupBy("transcript_id").agg(F.min("speaker_id").alias("speaker_id"), F.max("speaker_id").alias("hi")).where("speaker_id = hi").drop("hi")
+    chiefs = chiefs.unionByName(one.join(chiefs, "transcript_id", "left_anti"))
+    return settle_speakers(marked, TURN, "transcript_id", people, present, chiefs)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans in the texts of all current turns, and runs of turns by one person."""
+    turns = durable(_marked_turns(spark, sf_dir).select(*TURN, "spans", "said", "person"))
+    items = item_rows(turns, TURN).select(
+        "transcript_id", F.col("turn_index").cast("long").alias("turn_index"), "item", F.col("start_char").alias("pos_a"), F.col("end_char").alias("pos_b"))
+    runs = runs_of_one_person(turns.where("said"), "transcript_id", "turn_index", "person")
+    return items.unionByName(runs.select("transcript_id", F.col("first_index").alias("turn_index"), F.lit("speaker_turn").alias("item"),
+                                         F.col("last_index").alias("pos_a"), F.col("person").alias("pos_b")))
+
+
+QUERIES = {"p1_found": p1_found, "p7_found": p7_found}
 ORACLES: dict[str, str] = {}
