@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnmill.llm.chunking import FORCED, Limits, oversized, split_oversized
 from turnmill.llm.sentences import lay_out_all, sentences, train
 from turnmill.llm.turns import item_rows, mark, runs_of_one_person, settle_speakers
 from turnmill.operators.current import current_rows
@@ -24,6 +25,27 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("transcript_id", F.col("turn_index").cast("long").alias("turn_index"), F.col("end_char"))
 
 
+def _limits(spark: SparkSession, sf_dir: str) -> Limits:
+    got = {r["unit"]: r for r in table(spark, sf_dir, "size_limits").where("item = 'turn'").collect()}  # a table of three rows
+    return Limits(got["chars"]["limit_value"], got["chars"]["overlap_value"], got["seconds"]["limit_value"], got["seconds"]["overlap_value"])
+
+
+def turn_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every current turn that is above a limit."""
+    limits = _limits(spark, sf_dir)
+    cols = [*TURN, "text", "start", "stop", "duration", "loaded_at"]
+    now = current_rows(table(spark, sf_dir, "turns").select(*cols), TURN, "loaded_at", [F.col("text"), F.col("start"), F.col("stop"), F.col("duration")])
+    sized = oversized(now, "text", "start", "stop", "duration", limits).withColumn("long_text", F.when(F.col("over"), F.col("text")))
+    laid = durable(lay_out_all(sized, [*TURN, "over", "span_us", "size", "timed", "long_text"], "text", silent=True))
+    return split_oversized(laid.where("over"), TURN, train(laid), limits)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each turn above a limit had to be cut."""
+    return turn_pieces(spark, sf_dir).groupBy("transcript_id", F.col("turn_index").cast("long").alias("turn_index")).agg(
+        F.when(F.max("cut") == FORCED, "forced").otherwise("natural").alias("cut"))
+
+
 def _marked_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current turns with their spans and the person who speaks."""
     cols = [*TURN, "text", "speaker_id", "speaker_name", "loaded_at"]
@@ -54,5 +76,5 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.col("last_index").alias("pos_a"), F.col("person").alias("pos_b")))
 
 
-QUERIES = {"p1_found": p1_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
 ORACLES: dict[str, str] = {}
