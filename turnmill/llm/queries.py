@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnmill.llm.chunking import FORCED, Limits, oversized, split_oversized
 from turnmill.llm.sentences import lay_out_all, sentences, train
+from turnmill.llm.splits import assign_splits, docket_key, related_groups
 from turnmill.llm.turns import item_rows, mark, runs_of_one_person, settle_speakers
 from turnmill.operators.current import current_rows
 from turnmill.session import durable, table
@@ -57,8 +58,9 @@ def _marked_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = tr.select(F.col("id").alias("transcript_id"), F.explode("speakers").alias("s")).select("transcript_id", F.col("s.id").alias("speaker_id"))
     present = marked.select("transcript_id", "speaker_id").where("speaker_id is not null").distinct().unionByName(listed)
     terms = tr.select(F.col("id").alias("transcript_id"), F.expr("try_cast(term as int)").alias("year"))
-    # the bench is a table of fixed size
-    chiefs = terms.join(F.broadcast(bench.where("role = 'chief_justice'")), F.col("year").between(F.col("first_term"), F.col("last_term"))).select("transcript_id", "speaker_id")
+    # the bench is a table of fixed size; its chiefs by year
+    by_year = bench.where("role = 'chief_justice' and first_term <= last_term").select("speaker_id", F.explode(F.sequence("first_term", "last_term")).alias("year"))
+    chiefs = terms.join(F.broadcast(by_year), "year").select("transcript_id", "speaker_id")
     # where terms leave it open, the chief who is known to speak there
     seated = present.join(F.broadcast(bench.where("role = 'chief_justice'").select("speaker_id")), "speaker_id").select("transcript_id", "speaker_id")
     one = seated.groupBy("transcript_id").agg(F.min("speaker_id").alias("speaker_id"), F.max("speaker_id").alias("hi")).where("speaker_id = hi").drop("hi")
@@ -76,5 +78,47 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.col("last_index").alias("pos_a"), F.col("person").alias("pos_b")))
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
-ORACLES: dict[str, str] = {}
+def _case_and_speaker_keys(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Current transcripts (id), and what ties them: (id, key) of their cases and off-bench speakers."""
+    tr = current_rows(table(spark, sf_dir, "transcripts").select("id", "case_docket", "term", "turns.speaker_id", "loaded_at"), ["id"], "loaded_at", [F.col("case_docket"), F.col("term")])
+    case = tr.select("id", F.concat(F.lit("c\t"), F.trim("term"), F.lit("\t"), docket_key(F.col("case_docket"))).alias("key"))
+    flat = current_rows(table(spark, sf_dir, "turns").select(*TURN, "speaker_id", "loaded_at"), TURN, "loaded_at", [F.col("speaker_id")])
+    spoke = flat.select(F.col("transcript_id").alias("id"), "speaker_id").unionByName(tr.select("id", F.explode("speaker_id").alias("speaker_id")))
+    spoke = spoke.where("speaker_id is not null").distinct()
+    # the bench is a table of fixed size
+    off = spoke.join(F.broadcast(table(spark, sf_dir, "bench").select("speaker_id")), "speaker_id", "left_anti")
+    known = off.join(tr.select("id"), "id", "left_semi").select("id", F.concat(F.lit("s\t"), F.col("speaker_id").cast("string")).alias("key"))
+    return tr.select("id"), case.unionByName(known)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts that must stay together: each but the smallest of its group, with that smallest."""
+    _, keys = _case_and_speaker_keys(spark, sf_dir)
+    return related_groups(keys).select("group_id", F.col("id").alias("transcript_id"))
+
+
+def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split of every current transcript."""
+    records, keys = _case_and_speaker_keys(spark, sf_dir)
+    targets = [(r["split_name"], r["target_share"]) for r in table(spark, sf_dir, "split_targets").orderBy(F.desc("target_share"), "split_name").collect()]  # three rows
+    return assign_splits(records, related_groups(keys), targets).select(F.col("id").alias("transcript_id"), "group_id", "split_name")
+
+
+P5_SQL = r"""
+with recursive tr as (
+  select * from transcripts where id is not null qualify row_number() over (partition by id order by loaded_at desc nulls last, case_docket desc nulls last, term desc nulls last) = 1),
+tu as (
+  select transcript_id, speaker_id from turns where transcript_id is not null and turn_index is not null
+  qualify row_number() over (partition by transcript_id, turn_index order by loaded_at desc nulls last, speaker_id desc nulls last) = 1),
+k as (
+  select id, 'c|' || trim(term) || '|' || list_aggregate(list_transform(regexp_extract_all(case_docket, '[0-9]+'), lambda x: cast(cast(x as bigint) as varchar)), 'string_agg', '-') as key
+  from tr where regexp_matches(case_docket, '[0-9]')
+  union select transcript_id, 's|' || speaker_id from tu where speaker_id not in (select speaker_id from bench) and transcript_id in (select id from tr)
+  union select id, 's|' || u.speaker_id from (select id, unnest(turns) as u from tr) where u.speaker_id not in (select speaker_id from bench)),
+e as (select distinct a.id as a, b.id as b from k a join k b using (key)),
+reach as (select a, b from e union select r.a, e.b from reach r join e on r.b = e.a)
+select min(b) as group_id, a as transcript_id from reach group by a having min(b) <> a
+"""
+
+QUERIES = {"p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
+ORACLES = {"p5_found": P5_SQL}
