@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.llm.chunking import FORCED, Limits, oversized, split_oversized
+from turnmill.llm.pii import find_all, learn, name_filter
 from turnmill.llm.sentences import lay_out_all, sentences, train
 from turnmill.llm.splits import assign_splits, docket_key, related_groups
 from turnmill.llm.turns import item_rows, mark, runs_of_one_person, settle_speakers
@@ -104,6 +105,24 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_splits(records, related_groups(keys), targets).select(F.col("id").alias("transcript_id"), "group_id", "split_name")
 
 
+def _personal_data(spark: SparkSession, sf_dir: str, redact: bool) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").where("doc_id is not null")
+    people = table(spark, sf_dir, "speakers").select("name").unionByName(table(spark, sf_dir, "bench").select("name"))
+    bits = name_filter(people)
+    patterns, shapes = learn(docs, "text", bits)
+    return find_all(docs, "doc_id", "text", bits, patterns, shapes, redact)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return _personal_data(spark, sf_dir, False)
+
+
+def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with placeholders for personal data."""
+    return _personal_data(spark, sf_dir, True)
+
+
 P5_SQL = r"""
 with recursive tr as (
   select * from transcripts where id is not null qualify row_number() over (partition by id order by loaded_at desc nulls last, case_docket desc nulls last, term desc nulls last) = 1),
@@ -120,5 +139,5 @@ reach as (select a, b from e union select r.a, e.b from reach r join e on r.b =
 select min(b) as group_id, a as transcript_id from reach group by a having min(b) <> a
 """
 
-QUERIES = {"p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
+QUERIES = {"p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
 ORACLES = {"p5_found": P5_SQL}
