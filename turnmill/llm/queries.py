@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.llm.chunking import FORCED, Limits, oversized, split_oversized
+from turnmill.llm.mixing import mix, report
+from turnmill.llm.packing import pack
 from turnmill.llm.pii import find_all, learn, name_filter
 from turnmill.llm.sentences import lay_out_all, sentences, train
 from turnmill.llm.splits import assign_splits, docket_key, related_groups
+from turnmill.llm.tokens import token_sizes
 from turnmill.llm.turns import item_rows, mark, runs_of_one_person, settle_speakers
 from turnmill.operators.current import current_rows
 from turnmill.session import durable, table
@@ -123,6 +126,25 @@ def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _personal_data(spark, sf_dir, True)
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into containers of the container limit."""
+    limit = table(spark, sf_dir, "size_limits").where("item = 'container'").first()["limit_value"]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(token_sizes(docs, ["doc_id"], "text", terms=True), "doc_id", limit)
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document in the mixture."""
+    rows = table(spark, sf_dir, "mix_targets").collect()  # seven rows
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix(token_sizes(docs, ["doc_id", "source"], "text"), {r["source"]: (r["target_share"], r["max_repeats"]) for r in rows})
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of every source of the mixture."""
+    return report(p9_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
 P5_SQL = r"""
 with recursive tr as (
   select * from transcripts where id is not null qualify row_number() over (partition by id order by loaded_at desc nulls last, case_docket desc nulls last, term desc nulls last) = 1),
@@ -139,5 +161,5 @@ reach as (select a, b from e union select r.a, e.b from reach r join e on r.b =
 select min(b) as group_id, a as transcript_id from reach group by a having min(b) <> a
 """
 
-QUERIES = {"p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
+QUERIES = {"p8_containers": p8_containers, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
 ORACLES = {"p5_found": P5_SQL}
