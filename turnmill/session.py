@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return b.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python tasks can import it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="turnmill-"), "turnmill.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("turnmill", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 _own: dict[str, str] = {}
 
 
