@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values ---------------------------------------------------------------------------------------------------
@@ -74,6 +76,10 @@ def _tidy(tokens: Column) -> Column:
     return F.filter(F.transform(tokens, lambda t: F.trim(F.replace(F.trim(t), F.lit("  "), F.lit(" ")))), lambda t: t != "")
 
 
+def _set_off(opener: str, closer: str) -> Callable[[Column], Column]:
+    return lambda x: F.concat(F.lit(opener), x, F.lit(closer))
+
+
 def artifact_entries(text: Column) -> Column:
     """Array of (category, token), with repetitions; empty for a null or empty text."""
     t = F.coalesce(text, F.lit(""))
@@ -92,7 +98,7 @@ def artifact_entries(text: Column) -> Column:
     for category, a, b, pattern, speech in BRACKETS:
         inner = F.transform(found(pattern, 1), lambda x: F.trim(x))
         short = F.transform(inner, lambda x: F.when(F.length(x) > BRACKET_LENGTH, F.concat(F.substring(x, 1, BRACKET_LENGTH), F.lit("..."))).otherwise(x))
-        whole = lambda x, a=a, b=b: F.concat(F.lit(a), x, F.lit(b))
+        whole = _set_off(a, b)
         parts.append(_tagged(category, F.transform(short, whole)))
         if speech:
             said = F.filter(short, lambda x: F.trim(F.regexp_replace(F.trim(x), r"\.+$", "")).rlike(NON_SPEECH))
@@ -128,8 +134,6 @@ def rules_wanting_examples(counts: DataFrame, paths: DataFrame, least: int, exam
     rules = spark.createDataFrame([(r, label, list(c)) for r, label, c in RULES], "rule_id string, label string, categories array<string>")  # eighteen rows
     by_rule = rules.select("rule_id", "label", F.explode_outer("categories").alias("category"))
     n = by_rule.join(counts.groupBy("category").agg(F.sum("n").alias("n")), "category", "left").groupBy("rule_id", "label").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("current"))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("rule_id").orderBy("path")
     some = (by_rule.join(paths, "category").select("rule_id", "path").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= examples)
             .groupBy("rule_id").agg(F.array_sort(F.collect_list("path")).alias("examples")))

@@ -128,10 +128,12 @@ def slug(name: Column) -> Column:
 
 def audio_urls(media: Column) -> Column:
     """Map of format to address of media files; the last of a kind counts, other kinds and null elements are passed over."""
-    kept = F.filter(F.coalesce(media, F.array()), lambda m: m.isNotNull() & m["href"].isNotNull() & m["mime"].isin(list(MEDIA_KINDS)))
-    return F.map_from_entries(F.array_compact(F.array(*[
-        F.when(F.exists(kept, lambda m, k=k: m["mime"] == k), F.struct(F.lit(v).alias("key"), F.element_at(F.filter(kept, lambda m, k=k: m["mime"] == k), -1)["href"].alias("value")))
-        for k, v in MEDIA_KINDS.items()])))
+
+    def entry(mime: str, name: str) -> Column:
+        own = F.filter(F.coalesce(media, F.array()), lambda m: m.isNotNull() & m["href"].isNotNull() & (m["mime"] == mime))
+        return F.when(F.size(own) > 0, F.struct(F.lit(name).alias("key"), F.try_element_at(own, F.lit(-1))["href"].alias("value")))
+
+    return F.map_from_entries(F.array_compact(F.array(*[entry(k, v) for k, v in MEDIA_KINDS.items()])))
 
 
 def request_key(method: Column, url: Column) -> Column:

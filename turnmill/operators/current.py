@@ -18,4 +18,13 @@ def current_rows(df: DataFrame, keys: list[str], version: str, tie_break: list[C
     for k in keys:
         df = df.where(F.col(k).isNotNull())
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
+    rank = unused_name(df, "rank")
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """A name for a passing column that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -19,18 +19,18 @@ def appearances(turns: DataFrame, recording: list[str]) -> DataFrame:
         F.max("speaker_name").alias("name"))
 
 
-def totals(seen: DataFrame) -> DataFrame:
+def totals(seen: DataFrame, digits: int = 2) -> DataFrame:
     """Per speaker over appearances (with term, docket): recordings, cases, turns, duration_seconds, word_count, avg_words_per_turn."""
     case = F.concat_ws("/", "term", "docket")
     return seen.groupBy("speaker_id").agg(
-        F.count(F.lit(1)).alias("recordings"), F.count_distinct(case).alias("cases"), F.sum("turns").alias("turns"), F.round(F.sum("duration_seconds"), 2).alias("duration_seconds"),
+        F.count(F.lit(1)).alias("recordings"), F.count_distinct(case).alias("cases"), F.sum("turns").alias("turns"), F.round(F.sum("duration_seconds"), digits).alias("duration_seconds"),
         F.sum("word_count").alias("word_count"), F.round(F.coalesce(F.try_divide(F.sum("word_count"), F.sum("turns")), F.lit(0.0)), 1).alias("avg_words_per_turn"))
 
 
-def by_term(seen: DataFrame) -> DataFrame:
+def by_term(seen: DataFrame, digits: int = 2) -> DataFrame:
     """Per speaker and term: recordings, turns, duration_seconds, word_count."""
     return seen.groupBy("speaker_id", "term").agg(
-        F.count(F.lit(1)).alias("recordings"), F.sum("turns").alias("turns"), F.round(F.sum("duration_seconds"), 2).alias("duration_seconds"), F.sum("word_count").alias("word_count"))
+        F.count(F.lit(1)).alias("recordings"), F.sum("turns").alias("turns"), F.round(F.sum("duration_seconds"), digits).alias("duration_seconds"), F.sum("word_count").alias("word_count"))
 
 
 def roles(seen: DataFrame, before: DataFrame | None = None, cases: int = BENCH_CASES, terms: int = BENCH_TERMS) -> DataFrame:
@@ -85,9 +85,9 @@ def histograms(totals_: DataFrame) -> DataFrame:
     return totals_.select(F.explode(both).alias("x")).groupBy("x.kind", "x.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def hours_by_role(rows: DataFrame) -> DataFrame:
+def hours_by_role(rows: DataFrame, digits: int = 2) -> DataFrame:
     """(role, seconds, share) of time spoken."""
-    per = rows.groupBy("role").agg(F.round(F.sum("duration_seconds"), 2).alias("seconds"))
+    per = rows.groupBy("role").agg(F.round(F.sum("duration_seconds"), digits).alias("seconds"))
     whole = F.sum("seconds").over(Window.partitionBy(F.lit(1)))  # a few roles
     return per.withColumn("share", F.round(F.try_divide("seconds", whole), 6))
 

@@ -41,13 +41,13 @@ def with_validity(turns: DataFrame, recording: str, duration: str = "duration",
     return out.withColumn("is_valid", F.col("problem").isNull())
 
 
-def metadata(turns: DataFrame, recording: str, durations: DataFrame | None = None) -> DataFrame:
+def metadata(turns: DataFrame, recording: str, durations: DataFrame | None = None, digits: int = 2) -> DataFrame:
     """Per recording: counts of turns, sections, blocks, overlaps and invalid turns, spoken seconds and share, and whether a speaker is missing."""
     spoken = F.sum(F.when(F.col("is_valid") & (F.col("duration") > 0), F.col("duration")))
     agg = turns.groupBy(recording).agg(
         F.count(F.lit(1)).alias("turn_count"), F.count_distinct("section_index").alias("section_count"), F.sum("text_block_count").alias("text_block_count"),
         F.count_if("is_overlapping").alias("overlap_count"), F.count_if(~F.col("is_valid")).alias("invalid_turn_count"),
-        F.bool_or(F.col("speaker_id").isNull()).alias("has_null_speakers"), F.round(F.coalesce(spoken, F.lit(0.0)), 2).alias("total_spoken_seconds"), F.max("stop").alias("last_stop"))
+        F.bool_or(F.col("speaker_id").isNull()).alias("has_null_speakers"), F.round(F.coalesce(spoken, F.lit(0.0)), digits).alias("total_spoken_seconds"), F.max("stop").alias("last_stop"))
     whole = F.col("last_stop")
     if durations is not None:
         agg = agg.join(durations, recording, "left")
@@ -59,7 +59,7 @@ def metadata(turns: DataFrame, recording: str, durations: DataFrame | None = Non
 def speaker_lists(turns: DataFrame, recording: str) -> DataFrame:
     """(recording, speaker_id, name, turn_count, rank): speakers by number of turns, ties by first appearance; the name last seen."""
     per = turns.where("speaker_id is not null").groupBy(recording, "speaker_id").agg(
-        F.count(F.lit(1)).alias("turn_count"), F.min("index").alias("first"), F.max_by("speaker_name", "index").alias("name"))
+        F.count(F.lit(1)).alias("turn_count"), F.min("index").alias("first"), F.max_by("speaker_name", F.when(F.col("speaker_name").isNotNull(), F.col("index"))).alias("name"))
     w = Window.partitionBy(recording).orderBy(F.desc("turn_count"), "first")
     return per.withColumn("rank", F.row_number().over(w)).drop("first")
 
