@@ -146,7 +146,7 @@ def settle_speakers(marked: DataFrame, keys: list[str], recording: str, people:
     named = named.select("speaker_id", first.alias("first0"), sur.alias("sur0"))
     unknown = (marked.where(F.col("speaker_id").isNull() & (F.size("written") > 0))
                .select(*keys, F.explode("written").alias("w")).select(*keys, "w.rank", "w.first", "w.surname"))
-    first_ok = (F.col("first") == "") | (F.substring("first", 1, 1) == F.substring("first0", 1, 1)) | (F.levenshtein("first", "first0") <= 2)
+    first_ok = (F.col("first") == "") | (F.substring("first", 1, 1) == F.substring("first0", 1, 1)) | ((F.length("first") > 3) & (F.levenshtein("first", "first0") <= 1))
     here = present.where(F.col("speaker_id").isNotNull()).distinct().join(named, "speaker_id").withColumn("v", F.explode(_variants(F.col("sur0"))))
     near = (unknown.withColumn("v", F.explode(_variants(F.col("surname")))).join(here.select(recording, "v", "speaker_id", "first0", "sur0"), [recording, "v"])
             .where(first_ok).select(*keys, "rank", "speaker_id", F.when(F.col("surname") == F.col("sur0"), 0).otherwise(1).alias("step")).distinct())
