@@ -1,6 +1,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from turnmill import schemas
@@ -54,15 +55,33 @@ def test_quality(spark):
     assert quality(spark, [(0, 40, 80), (50, 100, 100)]) == ["passed", "passed"]
 
 
-def test_overlap_windows_against_pairs(spark):
-    rng = random.Random(3)
+@pytest.mark.parametrize("stretch", [5.0, 17.0, 600.0])
+def test_overlaps_against_pairs(spark, stretch):
+    rng = random.Random(int(stretch))
     rows = [(r, i, *(lambda a: (float(a), float(a + rng.randint(-2, 12))))(rng.randint(0, 60))) for r in range(20) for i in range(25)]
+    rows += [(None, 0, 0.0, 9.0), (None, 1, 2.0, 9.0), (0, 90, None, 9.0), (0, 91, 5.0, None), (0, 92, float("nan"), 9.0)]
     df = spark.createDataFrame(rows, "k int, i int, a double, b double")
-    got = {(r.k, r.i) for r in df.withColumn("o", Q.overlaps_another(["k"], "a", "b")).where("o").collect()}
-    want = {(k, i) for k, i, a, b in rows for kk, j, c, d in rows if k == kk and i != j and min(b, d) - max(a, c) > 3}
+    out = Q.flag_overlaps(df, ["k"], "a", "b", "o", stretch=stretch)
+    assert out.count() == len(rows)
+    got = {(r.k, r.i) for r in out.where("o").collect()}
+    fine = [r for r in rows if r[2] is not None and r[3] is not None and r[2] == r[2]]
+    want = {(k, i) for k, i, a, b in fine for kk, j, c, d in fine if k == kk and i != j and min(b, d) - max(a, c) > 3}
     assert got == want
 
 
+@pytest.mark.parametrize("block", [1, 3, 4096])
+def test_overlap_with_the_turn_before(spark, block):
+    rng = random.Random(9)
+    rows = [(r, i, float(rng.randint(0, 50)), rng.choice([None, float(rng.randint(0, 60))])) for r in range(3) for i in rng.sample(range(40), 20)]
+    want, prev = {}, {}
+    for r, i, a, b in sorted(rows, key=lambda x: x[:2]):
+        p = prev.get(r)
+        want[(r, i)] = max(0.0, p - a) if p is not None else 0.0
+        prev[r] = b
+    out = T.with_overlap(spark.createDataFrame(rows, "r int, i int, start double, stop double"), "r", "i", block=block)
+    assert {(x.r, x.i): x.overlap_seconds for x in out.collect()} == want
+
+
 def seen(spark):
     rows = [(7, "2020", "1-1", 10, 100.0, 500, "A B"), (7, "2021", "1-2", 20, 200.0, 1000, "A B")]
     return spark.createDataFrame(rows, "speaker_id long, term string, docket string, turns long, duration_seconds double, word_count long, name string")

@@ -28,3 +28,13 @@ def unused_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def beside(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the columns of its own summary by ``keys`` (one row per key, nulls are a key); rows stay as they are."""
+    on = []
+    for i, k in enumerate(keys):
+        name = unused_name(df, f"on_{i}")
+        summary = summary.withColumnRenamed(k, name)
+        on.append((k, name))
+    return df.join(summary, [F.col(k).eqNullSafe(F.col(n)) for k, n in on], "left").drop(*[n for _, n in on])

@@ -6,19 +6,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.functions import measures as M
+from turnmill.operators.current import beside, unused_name
 
 
-def overlaps_another(keys: list[str], start: str, stop: str, least: float = M.OVERLAP):
-    """Whether a row shares more than ``least`` with any other of its recording, as two windows instead of a self join.
+#: Seconds of a recording that one task orders at once.
+STRETCH = 600.0
 
-    Among rows in order of start: something before reaches far enough into this one, or this one into something after.
-    Rows not longer than ``least`` can't; null times give false. Needs one exchange and no pairs.
+
+def flag_overlaps(df: DataFrame, keys: list[str], start: str, stop: str, flag: str, least: float = M.OVERLAP, stretch: float = STRETCH) -> DataFrame:
+    """``flag``: whether a row shares more than ``least`` with any other of its recording, without pairing rows.
+
+    In order of start, something before reaches far enough into this row, or this one into something after. Recordings
+    are cut into stretches of time; what reaches in from earlier stretches, and the first start in later ones, come from
+    one summary row per stretch, so that a long recording is no single task. Rows with a null or NaN time, and rows not longer than
+    ``least``, overlap nothing. Null keys form a recording of their own.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(start).asc_nulls_last(), F.col(stop))
-    s, e = F.col(start), F.col(stop)
-    before = F.max(e).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(e - s > least, s)).over(w.rowsBetween(1, Window.unboundedFollowing))
-    return F.coalesce((e - s > least) & (before - s > least), F.lit(False)) | F.coalesce(e - after > least, F.lit(False))
+    block, s, e = unused_name(df, "stretch"), F.col(start), F.col(stop)
+    ok = F.coalesce(~F.isnan(s) & ~F.isnan(e) & (F.abs(s) < 1e15), F.lit(False))
+    rows = df.withColumn(block, F.when(ok, F.floor(s / stretch)))
+    long = F.col(block).isNotNull() & (e - s > least)
+    inside = Window.partitionBy(*keys, block).orderBy(F.col(start).asc_nulls_last(), F.col(stop))
+    along = Window.partitionBy(*keys).orderBy(block)
+    marks = (rows.where(F.col(block).isNotNull()).groupBy(*keys, block).agg(F.max(e).alias("_reach"), F.min(F.when(long, s)).alias("_next"))
+             .withColumn("_in", F.max("_reach").over(along.rowsBetween(Window.unboundedPreceding, -1)))
+             .withColumn("_out", F.min("_next").over(along.rowsBetween(1, Window.unboundedFollowing))))
+    joined = beside(rows, marks.select(*keys, block, "_in", "_out"), [*keys, block])
+    before = F.greatest(F.max(e).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.col("_in"))
+    after = F.least(F.min(F.when(long, s)).over(inside.rowsBetween(1, Window.unboundedFollowing)), F.col("_out"))
+    hit = F.coalesce(long & (before - s > least), F.lit(False)) | F.coalesce(long & (e - after > least), F.lit(False))
+    return joined.withColumn(flag, hit).drop(block, "_in", "_out")
+
+
+def with_group_max(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """The greatest value of the keys beside every row: an aggregate that combines before the shuffle, joined back."""
+    most = df.groupBy(*keys).agg(F.max(value).alias(name))
+    return beside(df, most, keys)
 
 
 def flag_utterances(df: DataFrame, keys: list[str], start: str = "start", stop: str = "stop", duration: str = "duration", words: str = "word_count") -> DataFrame:
@@ -30,9 +52,9 @@ def flag_utterances(df: DataFrame, keys: list[str], start: str = "start", stop:
     bad_times = F.coalesce((s < 0) | (e < 0) | (e < s) | (F.abs(d - (e - s)) > M.DRIFT), F.lit(True))
     rate = M.words_per_minute(F.col(words), d)
     bad_rate = F.coalesce((d >= M.JUDGED_FROM) & ((rate > M.FASTEST) | (rate < M.SLOWEST)), F.lit(False))
-    longest = F.max(e).over(Window.partitionBy(*keys))
-    out = df.withColumns({"bad_times": bad_times, "bad_rate": bad_rate, "overlapping": overlaps_another(keys, start, stop),
-                          "too_long": F.coalesce(F.when(longest > 0, d / longest) > M.LARGEST_SHARE, F.lit(False))})
+    last = unused_name(df, "last_end")
+    out = with_group_max(flag_overlaps(df, keys, start, stop, "overlapping"), keys, stop, last)
+    out = out.withColumns({"bad_times": bad_times, "bad_rate": bad_rate, "too_long": F.coalesce(F.when(F.col(last) > 0, d / F.col(last)) > M.LARGEST_SHARE, F.lit(False))}).drop(last)
     return out.withColumn("reason", F.when(F.col("bad_times"), "invalid_timestamps").when(F.col("bad_rate"), "abnormal_wpm").when(F.col("overlapping"), "overlapping")
                           .when(F.col("too_long"), "too_long_ratio").otherwise("passed"))
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.functions import ids, measures as M
+from turnmill.operators.current import beside, unused_name
+from turnmill.operators.quality import with_group_max
 
 
 def flatten_turns(raw: DataFrame) -> DataFrame:
@@ -25,19 +27,34 @@ def flatten_turns(raw: DataFrame) -> DataFrame:
         F.length(text).alias("char_count"), M.word_count(text).alias("word_count"), text.alias("text"))
 
 
-def with_overlap(turns: DataFrame, recording: str, order: str, start: str = "start", stop: str = "stop") -> DataFrame:
-    """``overlap_seconds`` with the turn before (0 for the first and where there is none) and ``is_overlapping``."""
-    w = Window.partitionBy(recording).orderBy(order)
-    over = F.greatest(F.lit(0.0), F.coalesce(F.lag(stop).over(w) - F.col(start), F.lit(0.0)))
-    return turns.withColumn("overlap_seconds", over).withColumn("is_overlapping", F.col("overlap_seconds") > 0)
+#: Turns of a recording that one task orders at once.
+BLOCK = 4096
+
+
+def with_overlap(turns: DataFrame, recording: str, order: str, start: str = "start", stop: str = "stop", block: int = BLOCK) -> DataFrame:
+    """``overlap_seconds`` with the turn before (0 for the first and where a time is missing) and ``is_overlapping``.
+
+    Recordings are ordered in blocks of turn numbers; the first turn of a block looks at the last of the block before.
+    """
+    b = unused_name(turns, "block")
+    rows = turns.withColumn(b, F.floor(F.col(order) / block))
+    w = Window.partitionBy(recording, b).orderBy(order)
+    ends = rows.groupBy(recording, b).agg(F.max_by(F.struct(F.col(stop).alias("x")), order).alias("_last"))
+    ends = ends.select(recording, b, F.lag("_last").over(Window.partitionBy(recording).orderBy(b)).alias("_before"))
+    rows = beside(rows, ends, [recording, b])
+    first = F.row_number().over(w) == 1
+    prev = F.when(first, F.col("_before.x")).otherwise(F.lag(stop).over(w))
+    over = F.greatest(F.lit(0.0), F.coalesce(prev - F.col(start), F.lit(0.0)))
+    return rows.withColumn("overlap_seconds", over).withColumn("is_overlapping", F.col("overlap_seconds") > 0).drop(b, "_before")
 
 
 def with_validity(turns: DataFrame, recording: str, duration: str = "duration", stop: str = "stop") -> DataFrame:
     """``problem`` and ``is_valid``; a turn that is valid by itself but fills more than half of the recording is too_long_ratio."""
     p = M.turn_problem(F.col(duration), F.col("text"), F.col("word_count"), F.col("overlap_seconds"))
-    longest = F.max(stop).over(Window.partitionBy(recording))
-    share = F.when(longest > 0, F.col(duration) / longest)
-    out = turns.withColumn("problem", F.coalesce(p, F.when(share > M.LARGEST_SHARE, "too_long_ratio")))
+    last = unused_name(turns, "last_end")
+    out = with_group_max(turns, [recording], stop, last)
+    share = F.when(F.col(last) > 0, F.col(duration) / F.col(last))
+    out = out.withColumn("problem", F.coalesce(p, F.when(share > M.LARGEST_SHARE, "too_long_ratio"))).drop(last)
     return out.withColumn("is_valid", F.col("problem").isNull())
 
 

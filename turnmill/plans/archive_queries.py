@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.functions import artifacts as A
@@ -149,7 +149,7 @@ def utterance_quality_reasons(spark: SparkSession, d: str) -> DataFrame:
            "(select *, max(stop) over (partition by transcript_id) m from cur) group by 1", "cur"))
 def recording_max_end_ratio(spark: SparkSession, d: str) -> DataFrame:
     """Last end of every recording and the turns that fill more than half of it."""
-    t = _turns(spark, d, "stop", "duration").withColumn("m", F.max("stop").over(Window.partitionBy("transcript_id")))
+    t = Q.with_group_max(_turns(spark, d, "stop", "duration"), ["transcript_id"], "stop", "m")
     return t.groupBy("transcript_id").agg(F.max("stop").alias("max_end"), F.count_if(F.when(F.col("m") > 0, F.col("duration") / F.col("m")) > M.LARGEST_SHARE).alias("long_turns"))
 
 
