@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from turnmill.functions import artifacts as A
 from turnmill.functions import ids
 from turnmill.functions import measures as M
+from turnmill.functions.spoken import normalize
 from turnmill.functions.terms import parse_terms
 from turnmill.operators import linking as L
 from turnmill.operators import quality as Q
@@ -17,7 +19,11 @@ from turnmill.operators import speakers as S
 from turnmill.operators import transcripts as T
 from turnmill.operators import versions as V
 from turnmill.operators.current import current_rows
-from turnmill.session import table
+from turnmill.operators.nested import emit_raw
+from turnmill.session import shared_dir, table
+from turnmill.sources.landing import load_flex
+from turnmill.sources.tiers import write_tier
+from turnmill.streaming.incremental import run_once, windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -609,3 +615,43 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return e.groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")).select(
         "event_type", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n", "total")
+
+
+@query(ORACLES["event_windows"])
+def stream_event_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Events by type and hour, read as a stream of files to its end."""
+    schema = table(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
+    name = f"stream_{uuid.uuid4().hex}"
+    out = run_once(windowed_counts(stream, "ts", "event_type", "value", "1 hour", "10 minutes"), name, f"{shared_dir(spark)}/{name}", "complete")
+    return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", F.round("total", 4).alias("total"))
+
+
+@query()
+def spoken_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Turns as they are spoken, with the number of written forms in them."""
+    return normalize(_turns(spark, d, "text"), ["transcript_id", "turn_index"], "text").select("transcript_id", "turn_index", "spoken", F.size("forms").alias("forms"))
+
+
+@query(sql("select tr.term, count(*) as utterances, count(*) filter (where v.problem is null) as valid, cast(coalesce(sum(v.word_count), 0) as bigint) as words from valid v join tr on tr.id = v.transcript_id group by 1", "tr", "valid"))
+def flex_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Utterances written as a tier and read back, by term."""
+    t = _transcripts(spark, d, "term", "case_docket", "transcript_type").withColumnsRenamed({"id": "transcript_id", "case_docket": "docket"})
+    judged = L.flag_members(_judged(spark, d), table(spark, d, "bench"), "speaker_id", "is_justice").join(t, "transcript_id")
+    rows = judged.select("term", "docket", "transcript_type", "turn_index", F.col("start").alias("start_sec"), F.col("stop").alias("end_sec"), F.col("duration").alias("duration_sec"), "speaker_id", "speaker_name",
+                         "is_justice", "text", "word_count", F.col("is_valid").alias("valid"), F.col("problem").alias("invalid_reason"))
+    root = f"{shared_dir(spark)}/flex-{uuid.uuid4().hex}"
+    write_tier(spark, root, {"utterances": rows})
+    back = load_flex(spark, root)[1]
+    return back.groupBy("term").agg(F.count(F.lit(1)).alias("utterances"), F.count_if("valid").alias("valid"), F.coalesce(F.sum("word_count"), F.lit(0)).alias("words"))
+
+
+@query()
+def raw_document_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Sections, turns and text blocks of raw documents in any form, with their times and texts."""
+    raw = current_rows(table(spark, d, "raw_records").select("record_id", "payload", "fetched_at"), ["record_id"], "fetched_at", [F.col("payload")])
+    flat = emit_raw(raw)
+    v = F.from_json("payload", "start double, stop double, text string, mime string")
+    return flat.select("child", v.alias("v")).groupBy("child").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("v.stop") <= F.col("v.start")).alias("without_length"), F.round(F.sum(F.col("v.stop") - F.col("v.start")), 3).alias("seconds"),
+        F.sum(M.word_count(F.col("v.text"))).alias("words"), F.count_distinct("v.mime").alias("kinds"))
