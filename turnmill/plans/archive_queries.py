@@ -450,6 +450,18 @@ def mp3_ogg_full_outer(spark: SparkSession, d: str) -> DataFrame:
     return L.pair_formats(_files(spark, d).select(F.col("url").alias("path")))
 
 
+@query(sql(
+    f", f as ({_FILES.replace('select tr.id, tr.term', 'select tr.id, tr.case_docket, tr.term')}), g as (select split_part(split_part(url, '/', -1), '.', 1) as recording_id, term, case_docket as docket, url as path from f where format = 'mp3'), "
+    "m as (select split_part(split_part(url, '/', -1), '.', 1) as recording_id, max(f.id) as transcript_id from f where url <> '' group by 1), c as (select term, docket_number as docket, max(name) as case_name from ca group by 1, 2) "
+    "select g.recording_id, g.term, g.docket, g.path, m.transcript_id, tr.title, c.case_name from g left join m using (recording_id) left join tr on tr.id = m.transcript_id left join c on c.term = g.term and c.docket = g.docket", "tr", "ca").replace(") , f", "), f"))
+def raw_items_two_left_joins(spark: SparkSession, d: str) -> DataFrame:
+    """Recordings with their transcript and case."""
+    t = _transcripts(spark, d, "term", "case_docket", "title", "metadata.audio_urls")
+    files = t.where("audio_urls['mp3'] is not null").select(ids.recording_id_of_url(F.col("audio_urls")["mp3"]).alias("recording_id"), "term", F.col("case_docket").alias("docket"), F.col("audio_urls")["mp3"].alias("path"))
+    media = t.select("id", "title", F.transform(F.map_values("audio_urls"), lambda u: F.struct(u.alias("href"))).alias("media_file"))
+    return L.raw_items(files, media, _cases(spark, d, "term", "docket_number", "name"))
+
+
 @query(sql("select id, term, case_docket from tr where exists (select 1 from cur where cur.transcript_id = tr.id)", "tr", "cur"))
 def semi_join_has_recording(spark: SparkSession, d: str) -> DataFrame:
     """Transcripts with flat turns."""
