@@ -91,6 +91,13 @@ def _remove(spark: SparkSession, path: str) -> None:
             shutil.rmtree(path, ignore_errors=True)
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan in at least as many parts as the cluster runs at once: a table in few files would leave most cores idle in front
+    of a costly Python stage. Larger tables have more parts and stay as they are."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
