@@ -14,7 +14,7 @@ from turnmill.llm.splits import assign_splits, docket_key, related_groups
 from turnmill.llm.tokens import token_sizes
 from turnmill.llm.turns import item_rows, mark, runs_of_one_person, settle_speakers
 from turnmill.operators.current import current_rows
-from turnmill.session import durable, table
+from turnmill.session import durable, spread_scan, table
 
 TURN = ["transcript_id", "turn_index"]
 
@@ -109,7 +109,7 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _personal_data(spark: SparkSession, sf_dir: str, redact: bool) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").where("doc_id is not null")
+    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text").where("doc_id is not null"))
     people = table(spark, sf_dir, "speakers").select("name").unionByName(table(spark, sf_dir, "bench").select("name"))
     bits = name_filter(people)
     patterns, shapes = learn(docs, "text", bits)
@@ -129,14 +129,14 @@ def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into containers of the container limit."""
     limit = table(spark, sf_dir, "size_limits").where("item = 'container'").first()["limit_value"]
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return pack(token_sizes(docs, ["doc_id"], "text", terms=True), "doc_id", limit)
 
 
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document in the mixture."""
     rows = table(spark, sf_dir, "mix_targets").collect()  # seven rows
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mix(token_sizes(docs, ["doc_id", "source"], "text"), {r["source"]: (r["target_share"], r["max_repeats"]) for r in rows})
 
 
