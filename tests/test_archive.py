@@ -107,10 +107,14 @@ def test_cases(spark):
     assert (c.opinion_announcements[0].type, c.opinion_announcements[0].speaker, c.opinion_announcements[0].unavailable) == ("dissent", "X", False)
 
 
-def test_interruptions(spark):
-    rows = [(1, 0, 1, "we hold --"), (1, 1, 2, "why?"), (1, 2, 1, "-- that it ends."), (1, 3, 2, "fine")]
-    got = T.merge_interruptions(spark.createDataFrame(rows, "id int, i int, speaker_id long, text string"), "id", "i").orderBy("i").collect()
-    assert [(r.i, r.text, r.merged) for r in got] == [(0, "we hold that it ends.", True), (1, "why?", False), (3, "fine", False)]
+@pytest.mark.parametrize("block", [1, 2, 4096])
+def test_interruptions(spark, block):
+    rows = [(1, 0, 1, "we hold --"), (1, 1, 2, "why?"), (1, 2, 1, "-- that it ends."), (1, 3, 2, "fine —"), (1, 4, 1, None), (1, 5, 2, "— yes"), (2, 0, 1, "so --"), (2, 1, None, "x"), (2, 2, 1, "-- no"),
+            (3, 0, 1, "a --"), (3, 1, 2, "b"), (3, 2, 1, "-- c --"), (3, 3, 2, "d"), (3, 4, 1, "-- e"), (4, 0, 1, "a --"), (4, 1, 2, "long " * 40), (4, 2, 1, "-- b")]
+    out = T.merge_interruptions(spark.createDataFrame(rows, "id int, i int, speaker_id long, text string"), "id", "i", block=block).orderBy("id", "i").collect()
+    assert [(r.i, r.text, r.merged) for r in out if r.id == 1] == [(0, "we hold that it ends.", True), (1, "why?", False), (3, "fine —", False), (4, None, False), (5, "— yes", False)]
+    assert [r.merged for r in out if r.id == 2] == [False] * 3 and [r.merged for r in out if r.id == 4] == [False] * 3
+    assert [(r.i, r.text) for r in out if r.id == 3] == [(0, "a c --"), (1, "b"), (3, "d"), (4, "-- e")]
 
 
 def test_landing_and_pages(spark, tmp_path):

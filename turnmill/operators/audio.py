@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Segments of a recording that are cut at once, on average.
+SEGMENTS = 2_000
 PROBED = "path string, sample_rate int, channels int, frames bigint, duration double, bits int, file_size bigint, error string"
 DECODED = "path string, sample_rate int, samples array<float>, error string"
 CUT = "segment_id string, sample_rate int, bytes binary, error string"
@@ -97,10 +99,12 @@ def mono_samples(files: DataFrame) -> DataFrame:
 def cut_segments(segments: DataFrame, files: DataFrame) -> DataFrame:
     """WAV bytes of segments (segment_id, path, start_sec, end_sec) of files (path, content), rounded to the nearest sample.
 
-    Each recording is decoded once, in the task that has its segments as one array; a reversed or missing range, or one
-    beyond the recording, gives an error row. Segments of recordings that aren't there give none.
+    A recording is decoded once for every so many of its segments, which come as one array; a reversed or missing range, or
+    one beyond the recording, gives an error row. Segments of recordings that aren't there give none.
     """
-    per = segments.groupBy("path").agg(F.collect_list(F.struct("segment_id", "start_sec", "end_sec")).alias("parts"))
+    shares = segments.groupBy("path").agg(F.ceil(F.count(F.lit(1)) / SEGMENTS).alias("_shares"))
+    per = (segments.join(shares, "path").groupBy("path", F.pmod(F.xxhash64("segment_id"), F.col("_shares")).alias("_share"))
+           .agg(F.collect_list(F.struct("segment_id", "start_sec", "end_sec")).alias("parts")).drop("_share"))
     joined = files.select("path", "content").join(per, "path")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -38,3 +38,19 @@ def beside(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
         summary = summary.withColumnRenamed(k, name)
         on.append((k, name))
     return df.join(summary, [F.col(k).eqNullSafe(F.col(n)) for k, n in on], "left").drop(*[n for _, n in on])
+
+
+def previous(df: DataFrame, keys: list[str], block: Column, order: list[str], value: str, name: str) -> DataFrame:
+    """``name``: the value of the row before in a key's order, null for the first, where the key's rows are ordered in blocks.
+
+    ``block`` must rise with the order. Rows are sorted within their block only; the first of a block looks at the last of
+    the block before, which comes from one summary row per block. A null value before is null, as with lag.
+    """
+    b, last, before = (unused_name(df, n) for n in ("block", "last", "before"))
+    rows = df.withColumn(b, block)
+    w = Window.partitionBy(*keys, b).orderBy(*order)
+    ends = rows.groupBy(*keys, b).agg(F.max_by(F.struct(F.col(value).alias("x")), F.struct(*order)).alias(last))
+    ends = ends.select(*keys, b, F.lag(last).over(Window.partitionBy(*keys).orderBy(b)).alias(before))
+    rows = beside(rows, ends, [*keys, b])
+    first = F.row_number().over(w) == 1
+    return rows.withColumn(name, F.when(first, F.col(f"{before}.x")).otherwise(F.lag(value).over(w))).drop(b, before)

@@ -100,7 +100,7 @@ def distinct_hrefs(cases: DataFrame) -> DataFrame:
     return cases.select(F.explode(kept).alias("a")).select(F.col("a.href").alias("href")).distinct()
 
 
-def rank_rows(rows: DataFrame, by: str, tie: str, k: int | None = None) -> DataFrame:
-    """Rows with the greatest values, ranked from 1; only the top ``k`` come together in one task."""
-    top = rows.orderBy(F.desc(by), tie).limit(k) if k else rows
+def rank_rows(rows: DataFrame, by: str, tie: str, k: int) -> DataFrame:
+    """The ``k`` rows with the greatest values, ranked from 1; only these come together in one task."""
+    top = rows.orderBy(F.desc(by), tie).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(by), tie)))

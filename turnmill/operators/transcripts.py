@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.functions import ids, measures as M
-from turnmill.operators.current import beside, unused_name
+from turnmill.operators.current import previous, unused_name
 from turnmill.operators.quality import with_group_max
 
 
@@ -36,16 +36,10 @@ def with_overlap(turns: DataFrame, recording: str, order: str, start: str = "sta
 
     Recordings are ordered in blocks of turn numbers; the first turn of a block looks at the last of the block before.
     """
-    b = unused_name(turns, "block")
-    rows = turns.withColumn(b, F.floor(F.col(order) / block))
-    w = Window.partitionBy(recording, b).orderBy(order)
-    ends = rows.groupBy(recording, b).agg(F.max_by(F.struct(F.col(stop).alias("x")), order).alias("_last"))
-    ends = ends.select(recording, b, F.lag("_last").over(Window.partitionBy(recording).orderBy(b)).alias("_before"))
-    rows = beside(rows, ends, [recording, b])
-    first = F.row_number().over(w) == 1
-    prev = F.when(first, F.col("_before.x")).otherwise(F.lag(stop).over(w))
-    over = F.greatest(F.lit(0.0), F.coalesce(prev - F.col(start), F.lit(0.0)))
-    return rows.withColumn("overlap_seconds", over).withColumn("is_overlapping", F.col("overlap_seconds") > 0).drop(b, "_before")
+    prev = unused_name(turns, "stop_before")
+    rows = previous(turns, [recording], F.floor(F.col(order) / block), [order], stop, prev)
+    over = F.greatest(F.lit(0.0), F.coalesce(F.col(prev) - F.col(start), F.lit(0.0)))
+    return rows.withColumn("overlap_seconds", over).withColumn("is_overlapping", F.col("overlap_seconds") > 0).drop(prev)
 
 
 def with_validity(turns: DataFrame, recording: str, duration: str = "duration", stop: str = "stop") -> DataFrame:
@@ -95,20 +89,29 @@ def enrich_dates(transcripts: DataFrame) -> DataFrame:
         {"title_date": ids.iso_date(F.col("_t")), "url_date": ids.iso_date(F.col("_u")), "date_mismatch": ids.date_mismatch(F.col("_t"), F.col("_u"))}).drop("_t", "_u")
 
 
-def merge_interruptions(turns: DataFrame, recording: str, order: str, most_words: int = 15, most_chars: int = 80) -> DataFrame:
-    """Turns broken off with '--', a short turn of another speaker, and the resumption with '--' of the first, joined into the first.
+def merge_interruptions(turns: DataFrame, recording: str, order: str, most_words: int = 15, most_chars: int = 80, block: int = BLOCK) -> DataFrame:
+    """Turns broken off with a dash, a short turn of another speaker, and the resumption with a dash by the first, joined into the first.
 
-    Only whole triples are joined, from the left, and a turn is part of one triple; chains join pairwise. Adds ``merged`` and drops the resumed turns.
+    A turn that resumes another begins no further triple, so chains join pairwise. Adds ``merged``; the resumed turns are gone.
+    Null texts and speakers interrupt nothing. Recordings are ordered in blocks of turn numbers.
     """
-    w = Window.partitionBy(recording).orderBy(order)
-    n1, n2 = (lambda c: F.lead(c, 1).over(w)), (lambda c: F.lead(c, 2).over(w))
-    text = F.trim(F.coalesce("text", F.lit("")))
-    short = (F.size(F.split(F.trim(F.coalesce(n1("text"), F.lit("")))
-                            , r"\s+")) <= most_words) | (F.length(n1("text")) <= most_chars)
-    hit = text.endswith("--") & (n1("speaker_id") != F.col("speaker_id")) & short & (n2("speaker_id") == F.col("speaker_id")) & F.trim(n2("text")).startswith("--")
-    t = turns.withColumn("_hit", F.coalesce(hit, F.lit(False))).withColumn("_rest", F.regexp_replace(F.trim(n2("text")), "^-+\\s*", ""))
-    # a turn that resumes one triple cannot begin the next
-    t = t.withColumn("_hit", F.col("_hit") & ~F.coalesce(F.lag("_hit", 2).over(w), F.lit(False)))
-    t = t.withColumn("_gone", F.coalesce(F.lag("_hit", 2).over(w), F.lit(False)))
-    merged = F.when(F.col("_hit"), F.concat(F.regexp_replace(text, "\\s*-+$", " "), F.col("_rest"))).otherwise(F.col("text"))
-    return t.where(~F.col("_gone")).withColumn("text", merged).withColumn("merged", F.col("_hit")).drop("_hit", "_gone", "_rest")
+    dash = r"(?:--|[–—])"
+    cols = turns.columns
+    me, one, two, hit, one_hit, two_hit = (unused_name(turns, n) for n in ("me", "one", "two", "hit", "one_hit", "two_hit"))
+    by = F.floor(F.col(order) / block)
+    rows = turns.withColumn(me, F.struct(*cols))
+    rows = previous(rows, [recording], by, [order], me, one)
+    rows = previous(rows, [recording], by, [order], one, two)
+    first, mid = F.col(two), F.col(one)
+    short = (F.size(F.split(F.trim(mid["text"]), r"\s+")) <= most_words) | (F.length(mid["text"]) <= most_chars)
+    fits = F.trim(first["text"]).rlike(dash + "$") & (mid["speaker_id"] != first["speaker_id"]) & short & (F.col("speaker_id") == first["speaker_id"]) & F.trim("text").rlike("^" + dash)
+    rows = rows.withColumn(hit, F.coalesce(fits, F.lit(False)))
+    rows = previous(rows, [recording], by, [order], hit, one_hit)
+    rows = previous(rows, [recording], by, [order], one_hit, two_hit)
+    rows = rows.withColumn(hit, F.col(hit) & ~F.coalesce(F.col(two_hit), F.lit(False)))
+    joined = rows.where(hit).select(F.col(two).alias("a"), F.trim("text").alias("c"))
+    text = F.concat(F.regexp_replace(F.trim("a.text"), rf"\s*{dash}$", " "), F.regexp_replace("c", rf"^{dash}\s*", ""))
+    whole = joined.select(*[text.alias(x) if x == "text" else F.col("a")[x].alias(x) for x in cols], F.lit(True).alias("merged"))
+    gone = joined.select(F.col("a")[recording].alias(recording), F.col("a")[order].alias(order))
+    rest = rows.where(~F.col(hit)).select(*cols).join(gone, [recording, order], "left_anti").select(*cols, F.lit(False).alias("merged"))
+    return rest.unionByName(whole)

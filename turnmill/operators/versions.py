@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnmill.operators.current import previous
+
 
 def version_history(seen: DataFrame, key: str, digest: str, at: str) -> DataFrame:
     """(key, digest, first_seen, last_seen, times): a content seen again only moves its last_seen."""
@@ -12,11 +14,14 @@ def version_history(seen: DataFrame, key: str, digest: str, at: str) -> DataFram
         F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.count(F.lit(1)).alias("times"))
 
 
-def change_log(seen: DataFrame, key: str, digest: str, at: str) -> DataFrame:
-    """(key, at, old_hash, new_hash) whenever the content of a key is another than at the fetch before; first contents log nothing."""
-    w = Window.partitionBy(key).orderBy(at, digest)
-    return (seen.where(F.col(key).isNotNull() & F.col(digest).isNotNull()).withColumn("old_hash", F.lag(digest).over(w))
-            .where(F.col("old_hash") != F.col(digest)).select(key, F.col(at).alias("at"), "old_hash", F.col(digest).alias("new_hash")))
+def change_log(seen: DataFrame, key: str, digest: str, at: str, block: str = "month") -> DataFrame:
+    """(key, at, old_hash, new_hash) whenever the content of a key is another than at the fetch before; first contents log nothing.
+
+    A key's fetches are ordered by month (or another unit of time), so that one that is fetched very often is no single task.
+    """
+    rows = seen.where(F.col(key).isNotNull() & F.col(digest).isNotNull()).select(key, digest, at)
+    rows = previous(rows, [key], F.date_trunc(block, F.col(at)), [at, digest], digest, "old_hash")
+    return rows.where(F.col("old_hash") != F.col(digest)).select(key, F.col(at).alias("at"), "old_hash", F.col(digest).alias("new_hash"))
 
 
 def latest_version(history: DataFrame, key: str) -> DataFrame:
