@@ -97,21 +97,20 @@ def merge_interruptions(turns: DataFrame, recording: str, order: str, most_words
     """
     dash = r"(?:--|[–—])"
     cols = turns.columns
-    me, one, two, hit, one_hit, two_hit = (unused_name(turns, n) for n in ("me", "one", "two", "hit", "one_hit", "two_hit"))
-    by = F.floor(F.col(order) / block)
-    rows = turns.withColumn(me, F.struct(*cols))
-    rows = previous(rows, [recording], by, [order], me, one)
-    rows = previous(rows, [recording], by, [order], one, two)
-    first, mid = F.col(two), F.col(one)
-    short = (F.size(F.split(F.trim(mid["text"]), r"\s+")) <= most_words) | (F.length(mid["text"]) <= most_chars)
-    fits = F.trim(first["text"]).rlike(dash + "$") & (mid["speaker_id"] != first["speaker_id"]) & short & (F.col("speaker_id") == first["speaker_id"]) & F.trim("text").rlike("^" + dash)
-    rows = rows.withColumn(hit, F.coalesce(fits, F.lit(False)))
-    rows = previous(rows, [recording], by, [order], hit, one_hit)
-    rows = previous(rows, [recording], by, [order], one_hit, two_hit)
-    rows = rows.withColumn(hit, F.col(hit) & ~F.coalesce(F.col(two_hit), F.lit(False)))
-    joined = rows.where(hit).select(F.col(two).alias("a"), F.trim("text").alias("c"))
-    text = F.concat(F.regexp_replace(F.trim("a.text"), rf"\s*{dash}$", " "), F.regexp_replace("c", rf"^{dash}\s*", ""))
-    whole = joined.select(*[text.alias(x) if x == "text" else F.col("a")[x].alias(x) for x in cols], F.lit(True).alias("merged"))
-    gone = joined.select(F.col("a")[recording].alias(recording), F.col("a")[order].alias(order))
-    rest = rows.where(~F.col(hit)).select(*cols).join(gone, [recording, order], "left_anti").select(*cols, F.lit(False).alias("merged"))
+    narrow = turns.select(F.col(recording).alias("_r"), F.col(order).alias("_o"), F.col(order).alias("_v"))
+    links = previous(narrow, ["_r"], F.floor(F.col("_o") / block), ["_o"], "_v", "_p").select("_r", "_o", "_p")
+    # only turns that resume something are looked at; their neighbours come by key
+    back = turns.where(F.trim("text").rlike("^" + dash) & F.col("speaker_id").isNotNull()).select(
+        F.col(recording).alias("_r"), F.col(order).alias("_o"), F.col("speaker_id").alias("_who"), F.trim("text").alias("_c"))
+    back = back.join(links, ["_r", "_o"]).withColumnRenamed("_p", "_p1")
+    back = back.join(links.select("_r", F.col("_o").alias("_p1"), F.col("_p").alias("_p2")), ["_r", "_p1"])
+    mids = turns.select(F.col(recording).alias("_r"), F.col(order).alias("_p1"), F.col("speaker_id").alias("_mid"), F.trim("text").alias("_b"))
+    heads = turns.where(F.trim("text").rlike(dash + "$")).select(F.col(recording).alias("_r"), F.col(order).alias("_p2"), F.struct(*cols).alias("_a"))
+    short = (F.size(F.split("_b", r"\s+")) <= most_words) | (F.length("_b") <= most_chars)
+    hits = back.join(heads, ["_r", "_p2"]).join(mids, ["_r", "_p1"]).where((F.col("_a.speaker_id") == F.col("_who")) & (F.col("_mid") != F.col("_who")) & short)
+    begun = hits.join(hits.select("_r", F.col("_o").alias("_p2")), ["_r", "_p2"], "left_anti")
+    text = F.concat(F.regexp_replace(F.trim("_a.text"), rf"\s*{dash}$", " "), F.regexp_replace("_c", rf"^{dash}\s*", ""))
+    whole = begun.select(*[text.alias(x) if x == "text" else F.col("_a")[x].alias(x) for x in cols], F.lit(True).alias("merged"))
+    gone = begun.select(F.col("_r").alias(recording), F.explode(F.array("_o", "_p2")).alias(order))
+    rest = turns.join(gone, [recording, order], "left_anti").select(*cols, F.lit(False).alias("merged"))
     return rest.unionByName(whole)
