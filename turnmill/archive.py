@@ -122,14 +122,10 @@ class Archive:
         u = utt if include_invalid else utt.where(F.coalesce("valid", F.lit(False)))
         u = L.with_recording(u, rec, keys)
         first = rec.groupBy(*keys).agg(F.min("audio_path").alias("path"))
-        sid = F.concat_ws("_", *keys, F.col("turn_index").cast("string"))
-        parts = u.join(first, keys).select(sid.alias("segment_id"), "path", "start_sec", "end_sec")
+        u = u.withColumn("segment_id", F.concat_ws("_", *keys, F.col("turn_index").cast("string")))
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{self.root}/landing/audio")
-        cut = AU.cut_segments(parts, files).select("segment_id", F.col("bytes").alias("_b"))
-        rows = tiers.simple_rows(u.withColumn("segment_id", sid)).withColumn("_k", F.concat_ws("_", "term", "docket", "recording_type", F.format_string("%.2f", "start_sec")))
-        with_key = u.select(sid.alias("segment_id"), F.concat_ws("_", *keys, F.format_string("%.2f", "start_sec")).alias("_k")).join(cut, "segment_id", "left").groupBy("_k").agg(F.first("_b", True).alias("_b"))
-        rows = rows.join(with_key, "_k", "left").withColumn("audio", F.struct(F.col("_b").alias("bytes"), F.col("audio.path").alias("path"))).drop("_k", "_b")
-        tiers.write_simple(self.spark, f"{self.root}/simple", rows, shard_mb)
+        cut = AU.cut_segments(u.join(first, keys).select("segment_id", "path", "start_sec", "end_sec"), files)
+        tiers.write_simple(self.spark, f"{self.root}/simple", tiers.simple_rows(u.join(cut.select("segment_id", F.col("bytes").alias("audio_bytes")), "segment_id", "left")), shard_mb)
 
     # --- loading and statistics ---------------------------------------------------------------------------------
     def load_flex(self) -> tuple[DataFrame, DataFrame]:

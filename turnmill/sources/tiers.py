@@ -58,16 +58,15 @@ def write_tier(spark: SparkSession, root: str, tables: dict[str, DataFrame], ter
     return True
 
 
-def simple_rows(utterances: DataFrame, audio: DataFrame | None = None) -> DataFrame:
-    """Rows of the simple tier from utterances with usable times; ``audio`` adds the segment as bytes by recording keys."""
+def simple_rows(utterances: DataFrame) -> DataFrame:
+    """Rows of the simple tier from utterances with usable times; a column ``audio_bytes`` becomes their audio."""
     u = utterances.where(F.col("start_sec") < F.col("end_sec"))
-    uid = F.concat_ws("_", "term", "docket", F.coalesce("transcript_type", F.lit("unknown")), F.format_string("%.2f", "start_sec"))
-    seg = F.lit(None).cast("binary") if audio is None else F.col("audio_bytes")
-    if audio is not None:
-        u = u.join(audio, ["term", "docket", "transcript_type"])
-    return u.select(uid.alias("id"), F.struct(seg.alias("bytes"), F.concat(uid, F.lit(".flac")).alias("path")).alias("audio"), F.col("text").alias("sentence"), F.col("speaker_name").alias("speaker"),
+    kind = F.coalesce("transcript_type", F.lit("unknown"))
+    uid = F.concat_ws("_", "term", "docket", kind, F.format_string("%.2f", "start_sec"))
+    content = F.col("audio_bytes") if "audio_bytes" in utterances.columns else F.lit(None).cast("binary")
+    return u.select(uid.alias("id"), F.struct(content.alias("bytes"), F.concat(uid, F.lit(".wav")).alias("path")).alias("audio"), F.col("text").alias("sentence"), F.col("speaker_name").alias("speaker"),
                     "speaker_id", F.coalesce("is_justice", F.lit(False)).alias("is_justice"), (F.col("end_sec") - F.col("start_sec")).alias("duration"), "term", "docket",
-                    F.coalesce("transcript_type", F.lit("unknown")).alias("recording_type"), "start_sec", "end_sec")
+                    kind.alias("recording_type"), "start_sec", "end_sec")
 
 
 def write_simple(spark: SparkSession, root: str, rows: DataFrame, shard_mb: int = 100, bytes_per_row: int = 200_000) -> None:
