@@ -128,6 +128,11 @@ def artifact_paths(df: DataFrame, text: str, path: str) -> DataFrame:
     return df.select(path, F.explode(artifact_entries(F.col(text))).alias("e")).select(F.col("e.category").alias("category"), F.col(path).alias("path")).distinct()
 
 
+def artifacts_by_place(df: DataFrame, text: str, path: str) -> DataFrame:
+    """(category, path, n): how often a category occurs in each place; counts and places of categories follow from it."""
+    return df.select(path, F.explode(artifact_entries(F.col(text))).alias("e")).groupBy(F.col("e.category").alias("category"), F.col(path).alias("path")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def rules_wanting_examples(counts: DataFrame, paths: DataFrame, least: int, examples: int = 15) -> DataFrame:
     """Rules whose categories have fewer than ``least`` tokens: rule_id, label, current, need and up to ``examples`` places, fewest first."""
     spark = counts.sparkSession

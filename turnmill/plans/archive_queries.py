@@ -20,7 +20,7 @@ from turnmill.operators import transcripts as T
 from turnmill.operators import versions as V
 from turnmill.operators.current import current_rows
 from turnmill.operators.nested import emit_raw
-from turnmill.session import shared_dir, table
+from turnmill.session import durable, shared_dir, table
 from turnmill.sources.landing import load_flex
 from turnmill.sources.tiers import write_tier
 from turnmill.streaming.incremental import run_once, windowed_counts
@@ -581,7 +581,8 @@ def artifact_counts_checked(spark: SparkSession, d: str) -> DataFrame:
 def rules_needing_examples(spark: SparkSession, d: str) -> DataFrame:
     """Rules with fewer than 500 examples in all turns, with places."""
     t = _turns(spark, d, "text").withColumn("path", F.concat_ws("/", "transcript_id", "turn_index"))
-    return A.rules_wanting_examples(A.artifact_counts(t, "text"), A.artifact_paths(t, "text", "path"), 500).withColumn("examples", F.array_join("examples", ","))
+    places = durable(A.artifacts_by_place(t, "text", "path"))
+    return A.rules_wanting_examples(places, places, 500).withColumn("examples", F.array_join("examples", ","))
 
 
 @query(sql(
