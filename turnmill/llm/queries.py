@@ -161,5 +161,16 @@ reach as (select a, b from e union select r.a, e.b from reach r join e on r.b =
 select min(b) as group_id, a as transcript_id from reach group by a having min(b) <> a
 """
 
-QUERIES = {"p8_containers": p8_containers, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
+def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of a turn above a limit begins and ends, and what its cut parts."""
+    kinds = F.array(F.lit("natural"), F.lit("word"), F.lit("forced"))
+    return turn_pieces(spark, sf_dir).select("transcript_id", "turn_index", "piece_no", "start_char", "end_char", F.get(kinds, F.col("cut")).alias("cut"))
+
+
+def p7_clean_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns in which something is said, with the speaker settled and the text clean."""
+    return _marked_turns(spark, sf_dir).where("said").select("transcript_id", "turn_index", "person", "clean_text")
+
+
+QUERIES = {"p4_pieces": p4_pieces, "p7_clean_turns": p7_clean_turns, "p8_containers": p8_containers, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
 ORACLES = {"p5_found": P5_SQL}
