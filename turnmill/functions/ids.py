@@ -21,6 +21,13 @@ EXTENSIONS = {
     "application/json": ".json", "text/json": ".json", "text/html": ".html", "text/plain": ".txt", "text/xml": ".xml", "application/xml": ".xml",
     "text/css": ".css", "text/javascript": ".js", "application/javascript": ".js", "image/png": ".png", "image/jpeg": ".jpg", "image/gif": ".gif",
     "image/webp": ".webp", "audio/mpeg": ".mp3", "audio/wav": ".wav", "video/mp4": ".mp4", "application/pdf": ".pdf", "application/octet-stream": ".bin"}
+#: Date at the head of an older recording id, with its letter after it, and inside a newer one.
+OLD_DATE, OLD_LETTER, NEW_DATE = r"^(\d{8})[a-z]_", r"^\d{8}([a-z])_", r"_(\d{8})-"
+#: Month, day and year in a title.
+TITLE_DATE = r"[-,] ([A-Za-z]+) (\d{1,2}), (\d{4})(?:\s|$|[(\s])"
+#: Speakers in titles, and how titles of plain kinds begin.
+DISSENT, CONCURRENCE, DISSENT_BY = r"^Dissenting Opinion - (\w+) - ", r"^Concurring Opinion - (\w+) - ", r"\(Dissent by (\w+)\)"
+ARGUMENT_HEAD, OPINION_HEAD = "Oral Argument", "Opinion Announcement"
 # --------------------------------------------------------------------------------------------------------------------
 
 
@@ -44,7 +51,7 @@ def recording_type(recording_id: Column) -> Column:
     c = F.lit(None).cast("string")
     for mark, kind in reversed(RECORDING_MARKS):
         c = F.when(recording_id.contains(mark), F.lit(kind)).otherwise(c)
-    letter = F.regexp_extract(recording_id, r"^\d{8}([a-z])_", 1)
+    letter = F.regexp_extract(recording_id, OLD_LETTER, 1)
     return F.coalesce(c, _lookup(RECORDING_LETTERS)[letter], F.when(recording_id.isNotNull(), "unknown"))
 
 
@@ -54,14 +61,14 @@ def _date_struct(y: Column, m: Column, d: Column, ok: Column) -> Column:
 
 def recording_date(recording_id: Column) -> Column:
     """(year, month, day) at the head of an older id or between '_' and '-' of a newer one; months and days are only held to 1-12 and 1-31."""
-    s = F.coalesce(_found(recording_id, r"^(\d{8})[a-z]_"), _found(recording_id, r"_(\d{8})-"))
+    s = F.coalesce(_found(recording_id, OLD_DATE), _found(recording_id, NEW_DATE))
     y, m, d = (F.substring(s, a, n).cast("int") for a, n in ((1, 4), (5, 2), (7, 2)))
     return _date_struct(y, m, d, m.between(1, 12) & d.between(1, 31))
 
 
 def title_date(title: Column) -> Column:
     """(year, month, day) after a dash or comma in a title: full month name, day 1-31, year from 1900."""
-    p = r"[-,] ([A-Za-z]+) (\d{1,2}), (\d{4})(?:\s|$|[(\s])"
+    p = TITLE_DATE
     month = F.array_position(F.array(*[F.lit(x.lower()) for x in MONTHS]), F.lower(F.regexp_extract(title, p, 1))).cast("int")
     y, d = _found(title, p, 3).cast("int"), _found(title, p, 2).cast("int")
     return _date_struct(y, month, d, (month > 0) & d.between(1, 31) & (y >= 1900))
@@ -96,16 +103,16 @@ def term_and_docket(path: Column) -> Column:
 
 def opinion_title(title: Column) -> Column:
     """(type, speaker) of an opinion's title: dissent, concurrence or majority."""
-    d, c, old = _found(title, r"^Dissenting Opinion - (\w+) - "), _found(title, r"^Concurring Opinion - (\w+) - "), _found(title, r"\(Dissent by (\w+)\)")
+    d, c, old = _found(title, DISSENT), _found(title, CONCURRENCE), _found(title, DISSENT_BY)
     kind = F.when(d.isNotNull(), "dissent").when(c.isNotNull(), "concurrence").when(old.isNotNull(), "dissent").when(title.isNotNull(), "majority")
     return F.struct(kind.alias("type"), F.coalesce(d, c, old).alias("speaker"))
 
 
 def transcript_title(title: Column) -> Column:
     """(type, speaker) of a transcript's title: oral_argument, dissent, concurrence, opinion or unknown."""
-    d, c = _found(title, r"^Dissenting Opinion - (\w+) - "), _found(title, r"^Concurring Opinion - (\w+) - ")
-    kind = (F.when(title.startswith("Oral Argument"), "oral_argument").when(d.isNotNull(), "dissent").when(c.isNotNull(), "concurrence")
-            .when(title.startswith("Opinion Announcement"), "opinion").when(title.isNotNull(), "unknown"))
+    d, c = _found(title, DISSENT), _found(title, CONCURRENCE)
+    kind = (F.when(title.startswith(ARGUMENT_HEAD), "oral_argument").when(d.isNotNull(), "dissent").when(c.isNotNull(), "concurrence")
+            .when(title.startswith(OPINION_HEAD), "opinion").when(title.isNotNull(), "unknown"))
     return F.struct(kind.alias("type"), F.coalesce(d, c).alias("speaker"))
 
 

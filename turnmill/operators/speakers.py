@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from turnmill.functions import ids, measures as M
 
-#: Cases and terms from which on a speaker counts as a member of the bench.
+# Cases and terms from which on a speaker counts as a member of the bench.
 BENCH_CASES, BENCH_TERMS = 200, 5
 
 
