@@ -18,3 +18,9 @@ def test_columns(spark, data):
     for name, cols in want.items():
         df = entry.queries()[name](spark, data)
         assert df.columns == cols and df.count() > 0
+
+
+def test_no_cross_joins(spark, data):
+    for name in ("p1_found", "p4_pieces", "p5_splits", "p7_found", "p8_containers", "p9_shares", "p10_found"):
+        text = Q.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, name
