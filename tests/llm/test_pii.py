@@ -69,3 +69,16 @@ def test_nothing_to_learn_from(spark):
 def test_long_text(learned):
     t = "The court met at noon. " * 20000 + "Mail x@y.example."
     assert found(learned, t) == [("x@y.example", "email")]
+
+
+def test_all_confident_patterns_count(spark):
+    n = 50_100  # the patterns of fewest instances come last in any order by number
+    rows = spark.range(3 * n + 1).select("id", (F.col("id") % n).alias("p"), (F.col("id") == 3 * n).alias("open"))
+    rows = rows.withColumn("p", F.when(F.col("open"), n - 1).otherwise(F.col("p")))
+    c = F.struct(F.lit(0).alias("a"), F.lit(4).alias("b"), F.lit("name").alias("kind"), F.concat(F.lit("x y"), "id").alias("inst"), F.when(F.col("open"), 0.2).otherwise(1.0).alias("prior"),
+                 (~F.col("open")).alias("sure"), *(F.concat(F.lit(f"name\t{k}\t"), F.lpad(F.col("p").cast("string"), 9, "0")).alias(x) for k, x in (("L", "left"), ("M", "around"), ("R", "right"))))
+    scanned = rows.select(F.col("id").alias("doc_id"), F.expr("cast(array() as array<struct<a:int,b:int,kind:string>>)").alias("found"), F.array(c).alias("candidates"))
+    patterns, shapes = P.learn(scanned, rounds=1)
+    assert len(patterns) == 3 * n and not shapes
+    last = scanned.where(f"doc_id = {3 * n}")
+    assert [tuple(r) for r in P.find_all(last, "doc_id", P.learn_table(scanned, rounds=1)).collect()] == [(3 * n, 0, 4, "name")]

@@ -114,9 +114,9 @@ FILTER_BITS = 1 << 21
 #: Distinct instances that a pattern must have, and its least confidence.
 SUPPORT, CONFIDENCE = 3, 0.6
 _SUPPORTED = f"m >= {SUPPORT} or (k > {SUPPORT} and m >= 2) or (k >= {SUPPORT} and pattern like 'id\\_number%')"
-#: Patterns that a model keeps at most, those of most instances first: its size is bounded.
-PATTERNS = 50_000
 ROUNDS = 6
+#: What stands before a form of identity numbers among the keys of a model.
+SHAPE = "shape\t"
 
 
 class NameFilter:
@@ -428,8 +428,9 @@ def occurrences(scanned: DataFrame) -> DataFrame:
     return rows.groupBy("pattern", "instance").agg(F.max("prior").alias("prior"), F.max("firm").alias("firm"), F.count(F.lit(1)).alias("n"))
 
 
-def learn(scanned: DataFrame, rounds: int = ROUNDS) -> tuple[dict[str, float], dict[str, float]]:
-    """Confidence of patterns, and of forms of identity numbers, from scoring patterns and instances against each other.
+def learn_table(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(key, c): confidence of all confident patterns, and of forms of identity numbers (SHAPE before the form), from scoring
+    patterns and instances against each other. However many there are, they stay a table in the shared folder.
 
     A pattern's confidence is the mean score of what stands in it, drawn to the low side where that is little; the score
     of an instance that can carry one is the greater of its prior and the confidence of its patterns, in which confident
@@ -452,10 +453,16 @@ def learn(scanned: DataFrame, rounds: int = ROUNDS) -> tuple[dict[str, float], d
         score = durable(edges.withColumn("kind", F.substring_index("pattern", "\t", 1)).join(inst, ["kind", "instance"], "left").select(
             "pattern", "instance", "prior", "firm", "n",
             F.when(F.col("prior") == 0, 0.0).otherwise(F.greatest("prior", F.coalesce(F.col("up"), F.lit(0.0)))).alias("s")))
-    good = conf.where((F.col("c") >= CONFIDENCE) & F.expr(_SUPPORTED)).orderBy(F.desc("m"), "pattern").limit(PATTERNS).collect()
+    good = conf.where((F.col("c") >= CONFIDENCE) & F.expr(_SUPPORTED)).select(F.col("pattern").alias("key"), "c")
     shapes = (score.where(F.col("pattern").startswith("id_number\tM")).join(conf.select("pattern", "c"), "pattern").groupBy("instance")
-              .agg((F.sum(F.col("c") * F.col("n")) / F.sum("n")).alias("c"), F.sum("n").alias("n")).where(f"n >= {SUPPORT}").orderBy(F.desc("n")).limit(PATTERNS).collect())
-    return {r["pattern"]: r["c"] for r in good}, {r["instance"]: r["c"] for r in shapes}
+              .agg((F.sum(F.col("c") * F.col("n")) / F.sum("n")).alias("c"), F.sum("n").alias("n")).where(f"n >= {SUPPORT}"))
+    return durable(good.unionByName(shapes.select(F.concat(F.lit(SHAPE), "instance").alias("key"), "c")))
+
+
+def learn(scanned: DataFrame, rounds: int = ROUNDS) -> tuple[dict[str, float], dict[str, float]]:
+    """``learn_table`` as two dictionaries, for ``find`` on single texts: all patterns, and all forms. They have to fit the driver."""
+    got = {r["key"]: r["c"] for r in learn_table(scanned, rounds).collect()}
+    return {k: c for k, c in got.items() if not k.startswith(SHAPE)}, {k[len(SHAPE):]: c for k, c in got.items() if k.startswith(SHAPE)}
 
 
 def decide(found: list[tuple[int, int, str]], cands: list[tuple], patterns: dict[str, float], shapes: dict[str, float]) -> list[tuple[int, int, str]]:
@@ -501,10 +508,31 @@ def find(text: str | None, names: NameFilter, patterns: dict[str, float], shapes
     return decide(found, [(c.a, c.b, c.kind, c.inst, c.prior, c.sure, *c.keys) for c in cands], patterns, shapes)
 
 
-def find_all(scanned: DataFrame, key: str, patterns: dict[str, float], shapes: dict[str, float], redact: bool = False) -> DataFrame:
-    """One row per item (``key``, ``start_char``, ``end_char``, ``kind``), or with ``redact`` one per document (``key``, ``text``) with placeholders."""
-    sent = scanned.sparkSession.sparkContext.broadcast((patterns, shapes))
+def supported(scanned: DataFrame, key: str, model: DataFrame) -> DataFrame:
+    """(``key``, keys, cs): what of ``model`` stands in each document, only where some does.
+
+    Each document asks once for a key, whatever number of its candidates have it. The model has one row per key, so that the
+    skew join can split the keys that stand in a large part of the documents.
+    """
+    open_ = F.filter("candidates", lambda c: ~c["sure"] & (c["prior"] != 0))
+    keys = F.array_distinct(F.flatten(F.transform(open_, lambda c: F.when(
+        c["kind"] == "id_number", F.array(c["left"], c["around"], c["right"], F.concat(F.lit(SHAPE), c["inst"]))).otherwise(F.array(c["left"], c["around"], c["right"])))))
+    asked = scanned.select(F.col(key).alias("_id"), F.explode(keys).alias("key"))
+    got = asked.join(model.select("key", "c"), "key").groupBy("_id").agg(F.collect_list(F.struct("key", "c")).alias("_got"))
+    return got.select(F.col("_id").alias(key), F.col("_got.key").alias("keys"), F.col("_got.c").alias("cs"))
+
+
+def find_all(scanned: DataFrame, key: str, patterns: DataFrame | dict[str, float], shapes: dict[str, float] | None = None, redact: bool = False) -> DataFrame:
+    """One row per item (``key``, ``start_char``, ``end_char``, ``kind``), or with ``redact`` one per document (``key``, ``text``) with placeholders.
+
+    ``patterns`` is the table of ``learn_table``, or both dictionaries of ``learn`` are given.
+    """
+    if isinstance(patterns, dict):
+        rows = [*patterns.items(), *((SHAPE + k, c) for k, c in (shapes or {}).items())]
+        patterns = scanned.sparkSession.createDataFrame(rows, "key string, c double")
     kind = next(f for f in scanned.schema.fields if f.name == key).dataType.simpleString()
+    model = supported(scanned, key, patterns).withColumnRenamed(key, "_id")
+    known = scanned.join(model, scanned[key].eqNullSafe(model["_id"]), "left").select(scanned[key], "found", "candidates", "keys", "cs", *(["text"] if redact else []))
 
     def rows(lists: pa.ListArray) -> list[list[tuple]]:
         flat = lists.flatten()
@@ -513,11 +541,13 @@ def find_all(scanned: DataFrame, key: str, patterns: dict[str, float], shapes: d
         return [each[a:b] for a, b in zip([0, *ends], ends)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, shapes = sent.value
         for b in batches:
-            items = [decide(f, c, patterns, shapes) for f, c in zip(rows(b.column(1)), rows(b.column(2)))]
+            items = []
+            for f, c, keys, cs in zip(rows(b.column(1)), rows(b.column(2)), b.column(3).to_pylist(), b.column(4).to_pylist()):
+                got = dict(zip(keys, cs)) if keys else {}
+                items.append(decide(f, c, got, {k[len(SHAPE):]: x for k, x in got.items() if k.startswith(SHAPE)}))
             if redact:
-                yield pa.RecordBatch.from_pydict({key: b.column(0), "text": pa.array([redacted(t, i) for t, i in zip(b.column(3).to_pylist(), items)], pa.string())})
+                yield pa.RecordBatch.from_pydict({key: b.column(0), "text": pa.array([redacted(t, i) for t, i in zip(b.column(5).to_pylist(), items)], pa.string())})
                 continue
             counts = np.fromiter((len(i) for i in items), np.int64, len(items))
             flat = [x for i in items for x in i]
@@ -526,7 +556,7 @@ def find_all(scanned: DataFrame, key: str, patterns: dict[str, float], shapes: d
                 "end_char": pa.array([x[1] for x in flat], pa.int64()), "kind": pa.array([x[2] for x in flat], pa.string())})
 
     schema = f"`{key}` {kind}, text string" if redact else f"`{key}` {kind}, start_char bigint, end_char bigint, kind string"
-    return scanned.select(key, "found", "candidates", *(["text"] if redact else [])).mapInArrow(run, schema)
+    return known.mapInArrow(run, schema)
 
 
 def redacted(text: str | None, items: list[tuple[int, int, str]]) -> str | None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from turnmill.llm.chunking import FORCED, Limits, oversized, split_oversized
 from turnmill.llm.mixing import mix, report
 from turnmill.llm.packing import pack
-from turnmill.llm.pii import find_all, learn, name_filter, scan_documents
+from turnmill.llm.pii import find_all, learn_table, name_filter, scan_documents
 from turnmill.llm.sentences import lay_out_all, sentences, train
 from turnmill.llm.splits import assign_splits, docket_key, related_groups
 from turnmill.llm.tokens import token_sizes
@@ -112,7 +112,7 @@ def _personal_data(spark: SparkSession, sf_dir: str, redact: bool) -> DataFrame:
     docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text").where("doc_id is not null"))
     people = table(spark, sf_dir, "speakers").select("name").unionByName(table(spark, sf_dir, "bench").select("name"))
     scanned = durable(scan_documents(docs, "doc_id", "text", name_filter(people), keep_text=redact))
-    return find_all(scanned, "doc_id", *learn(scanned), redact)
+    return find_all(scanned, "doc_id", learn_table(scanned), redact=redact)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
