@@ -82,3 +82,21 @@ def test_all_confident_patterns_count(spark):
     assert len(patterns) == 3 * n and not shapes
     last = scanned.where(f"doc_id = {3 * n}")
     assert [tuple(r) for r in P.find_all(last, "doc_id", P.learn_table(scanned, rounds=1)).collect()] == [(3 * n, 0, 4, "name")]
+
+
+def test_names_without_capitals_outside_of_frames(spark):
+    people = spark.createDataFrame([(f"{f} {s}",) for f in ("Maren", "Tobias", "Junia") for s in ("Harrowby", "Selwyn", "Dunwyn")], "name string")
+    known = ("欧阳砚秋", "司徒云岫", "闻人子墨", "上官若兰")
+    rows = [f"Please ask {f} {s} about the lease." for f in ("Maren", "Tobias", "Junia") for s in ("Harrowby", "Selwyn", "Dunwyn")] + ["please ask junia selwyn about it.", "please ask junia penrgate about it.", "The court may grant rent about it."]
+    rows += [f"原告{n}的邮箱很旧。" for n in known] + [f"昨天律师{n}出庭了。" for n in known] + ["昨天律师慕容听雪出庭了。", "法院审查了合同。", "费用包括合同。"]
+    hindi = ("अनन्या मेहरोत्रा", "विवेक चतुर्वेदी", "कविता श्रीवास्तव", "रोहन भट्टाचार्य")
+    rows += [f"गवाह {n} ने कहा।" for n in hindi] + [f"आज वकील {n} आए थे।" for n in hindi] + ["आज वकील नंदिनी अग्निहोत्री आए थे।"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    scanned = P.scan_documents(df, "doc_id", "text", P.name_filter(people)).cache()
+    got = {}
+    for r in P.find_all(scanned, "doc_id", P.learn_table(scanned)).collect():
+        got.setdefault(rows[r.doc_id], []).append(rows[r.doc_id][r.start_char:r.end_char])
+    assert got.get("please ask junia selwyn about it.") == ["junia selwyn"] and got.get("please ask junia penrgate about it.") == ["junia penrgate"]
+    assert got.get("昨天律师慕容听雪出庭了。") == ["慕容听雪"] and got.get("昨天律师上官若兰出庭了。") == ["上官若兰"]
+    assert got.get("आज वकील नंदिनी अग्निहोत्री आए थे।") == ["नंदिनी अग्निहोत्री"]
+    assert not {"法院审查了合同。", "费用包括合同。", "The court may grant rent about it."} & set(got)

@@ -105,6 +105,13 @@ _CUES = [re.compile(f"{a}(?P<n>{b}){c}") for a, b, c in CUES]
 _OWNER = re.compile(r"(?:^|(?<=[。！？.!?”」\n A-Za-z0-9]))(?P<n>(?!证人|証人)[一-鿿]{1,4}(?: ?[一-鿿]{1,4})?)(?=(?:的|の)[一-鿿ァ-ヶー]{1,6}(?:是|为|は)[A-Za-z0-9+(])")
 _LOWER = re.compile(r"(?<![\w@.-])[a-z]{2,}(?: [a-z]\.)?(?: (?:van|von|de|o'))* (?:o['’])?[a-z]{5,}(?:-[a-z]{4,})?(?= here,)")
 
+#: Words in small letters, words of scripts without capitals that write spaces, and runs of those that write none.
+_SMALL = re.compile(r"(?<![\w@.'’-])(?:[od]['’])?[a-zß-öø-ÿа-яёα-ωά-ώա-և]{2,}(?:-[a-zß-öø-ÿа-яёα-ωά-ώա-և]+)*(?![\w@'’-])")
+_SPACED_WORD = re.compile(r"(?:(?![،؛؟٪-٭٠-٩۔۰-۹])[؀-ۿ])+|[ऀ-ॣ]+|[฀-๎]+|[가-힣]+")
+_UNSPACED = re.compile(r"[一-鿿぀-ヿ々]+")
+_BETWEEN = re.compile(r" (?:[a-z]\. )?")
+_LATIN_BEFORE = re.compile(r"[A-Za-z0-9][ ,:]*$")
+
 _DIGIT = re.compile(r"\d")
 _INITIAL = re.compile(r"[A-Z]\.")
 _ROMAN = re.compile(r"[IVXLC]+")
@@ -115,6 +122,9 @@ FILTER_BITS = 1 << 21
 SUPPORT, CONFIDENCE = 3, 0.6
 _SUPPORTED = f"m >= {SUPPORT} or (k > {SUPPORT} and m >= 2) or (k >= {SUPPORT} and pattern like 'id\\_number%')"
 ROUNDS = 6
+#: Priors of candidates cut out at every place, which only patterns on both sides can make a name, and of those of them
+#: that patterns shared with names in capitals don't learn from, since nearly all are none.
+ANYWHERE, UNLEARNED = 0.05, 0.04
 #: What stands before a form of identity numbers among the keys of a model.
 SHAPE = "shape\t"
 
@@ -243,30 +253,98 @@ def structured(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _small_candidates(text: str, taken: list[tuple[int, int]], names: NameFilter) -> Iterator[Candidate]:
+    """Pairs of words in small letters, or three, one of which names a known person; small words and an initial may join them."""
+    words = [(m.start(), m.end(), m.group()) for m in _SMALL.finditer(text)]
+    known = {w: names.has(w) & 1 | (2 if names.surname(w) else 0) for w in {x[2] for x in words}}
+    n = len(words)
+    for i, (a, end, w) in enumerate(words):
+        if w in NOT_PERSON or w in TITLES or w in OPENING and w not in EVERYDAY:
+            continue
+        first, firsts, j = known[w] & 1, 1, i + 1
+        while j < n and _BETWEEN.fullmatch(text, end, words[j][0]):
+            end, v = words[j][1:]
+            j += 1
+            if re.fullmatch(_LINK, v):
+                continue
+            if len(v) < 3 or v in OPENING or v in NOT_PERSON or v in TITLES:
+                break
+            last = known[v] & 2
+            after = words[j][2] if j < n and words[j][0] == end + 1 else ""
+            before = words[i - 1][2] if i and words[i - 1][1] == a - 1 else ""
+            if (first or last) and not (after in NOT_PERSON or before in BEFORE_NOT_PERSON) and not any(x < end and a < y for x, y in taken):
+                yield Candidate(text, a, end, "name", text[a:end], 0.2 if first and last else UNLEARNED, False)
+            if firsts == 2 or not (first and known[v] & 1):
+                break
+            firsts = 2
+
+
+def _pieces(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of scripts without capitals that are short enough for a name: up to four words where spaces are written, in Hangul
+    without what is joined to the last, and two to five letters elsewhere, or one to four on both sides of a space."""
+    words = [m.span() for m in _SPACED_WORD.finditer(text)]
+    for i, (a, b) in enumerate(words):
+        for k in range(4):
+            if k and (i + k >= len(words) or words[i + k][0] != words[i + k - 1][1] + 1 or text[words[i + k - 1][1]] != " "):
+                break
+            x, y = words[i + k]
+            if y - a > 40:
+                break
+            if "가" <= text[x] <= "힣":
+                if k > 1:
+                    break
+                for e in range(x + 2, min(y, x + 5) + 1):
+                    yield a, e
+            elif y - a > 1:
+                yield a, y
+    runs = [m.span() for m in _UNSPACED.finditer(text)]
+    for i, (a, b) in enumerate(runs):
+        for x in range(a, b - 1):
+            for e in range(x + 2, min(b, x + 5) + 1):
+                yield x, e
+        if i + 1 < len(runs) and runs[i + 1][0] == b + 1 and text[b] in " \u3000":
+            c, d = runs[i + 1]
+            for x in range(max(a, b - 4), b):
+                for e in range(c + 1, min(d, c + 4) + 1):
+                    yield x, e
+
+
 def _name_candidates(text: str, taken: list[tuple[int, int, str]], names: NameFilter) -> Iterator[Candidate]:
     for m in RUN.finditer(text):
         w = m.group()
         if " " not in w and w.lower() in OPENING and w.lower() not in EVERYDAY:
             continue
         yield from _split_run(text, m.start(), m.end(), taken, names)
+    seeds, whole = [(x, y) for x, y, _ in taken], set()
     if not text.isascii() and _CASELESS.search(text):
         for rx in (*_CUES, _OWNER):
             for m in rx.finditer(text):
                 a, b = m.span("n")
                 if not any(x < b and a < y for x, y, _ in taken):
+                    seeds.append((a, b))
                     yield Candidate(text, a, b, "name", text[a:b], 0.7 if rx is not _OWNER else 0.65, False)
         for m in _NONCASED.finditer(text):
             a, b = m.span()
             before, after = text[max(0, a - 2):a].rstrip(), text[b:b + 6].lstrip(" ,:'’<s")
             latin = (a == 0 or text[a - 1] in " \n\t") and after[:1].isascii() and after[:1].isalnum() and 2 <= b - a <= 40
             if latin and (not before or before[-1].isascii()) and not any(x < b and a < y for x, y, _ in taken):
+                whole.add((a, b))
                 yield Candidate(text, a, b, "name", text[a:b], 0.2, False)
+        # what overlaps a seed is known to be cut wrongly
+        at = bytearray(len(text) + 1)
+        for x, y in seeds:
+            at[x:y] = b"\1" * (y - x)
+        for a, b in _pieces(text):
+            if not any(at[a:b]) and (a, b) not in whole:
+                yield Candidate(text, a, b, "name", text[a:b], UNLEARNED if _LATIN_BEFORE.search(text, max(0, a - 4), a) else ANYWHERE, False)
     if " here," in text:
         for m in _LOWER.finditer(text):
             w = m.group().split()
             if w[0] not in OPENING or w[0] in EVERYDAY:
                 known, first = names.surname(w[-1]), names.first(w[0])
+                seeds.append(m.span())
                 yield Candidate(text, m.start(), m.end(), "name", m.group(), 1.0 if known and first else 0.7 if known else 0.5, known and first)
+    yield from _small_candidates(text, seeds, names)
 
 
 def _given(words: list[tuple[int, int, str]], i: int, names: NameFilter) -> bool:
@@ -422,7 +500,7 @@ def scan_documents(docs: DataFrame, key: str, column: str, bits: bytes, keep_tex
 def occurrences(scanned: DataFrame) -> DataFrame:
     """(pattern, instance, prior, firm, n) over all texts. firm: an instance that can carry its score from one pattern to another
     (a name of several words; single surnames also name places and cases, so they carry none)."""
-    c = scanned.select(F.explode("candidates").alias("c")).select("c.*")
+    c = scanned.select(F.explode("candidates").alias("c")).select("c.*").where(F.col("prior") != UNLEARNED)
     firm = (F.col("kind") == "id_number") | F.col("inst").rlike(r"[^\x00-\x7F]| ")
     rows = c.select(F.explode(F.array("left", "around", "right")).alias("pattern"), F.col("inst").alias("instance"), "prior", firm.alias("firm"))
     return rows.groupBy("pattern", "instance").agg(F.max("prior").alias("prior"), F.max("firm").alias("firm"), F.count(F.lit(1)).alias("n"))
@@ -449,10 +527,12 @@ def learn_table(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             ((F.sum(F.col("s") * F.col("n")) + 0.1) / (F.sum("n") + 0.5)).alias("c"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("k"))
         conf = durable(conf)
         inst = (edges.where("firm").join(conf.select("pattern", "c", "m"), "pattern").groupBy(F.substring_index("pattern", "\t", 1).alias("kind"), "instance")
-                .agg((F.sum(F.col("c") * F.col("c") * F.col("n")) / F.sum(F.col("c") * F.col("n"))).alias("up")))
+                .agg((F.sum(F.col("c") * F.col("c") * F.col("n")) / F.sum(F.col("c") * F.col("n"))).alias("up"), F.max("prior").alias("best")))
         score = durable(edges.withColumn("kind", F.substring_index("pattern", "\t", 1)).join(inst, ["kind", "instance"], "left").select(
             "pattern", "instance", "prior", "firm", "n",
-            F.when(F.col("prior") == 0, 0.0).otherwise(F.greatest("prior", F.coalesce(F.col("up"), F.lit(0.0)))).alias("s")))
+            # what is a seed in one place is as likely a name where it was only cut out
+            F.when(F.col("prior") == 0, 0.0).otherwise(F.greatest(
+                F.when(F.col("prior") == ANYWHERE, F.coalesce("best", "prior")).otherwise(F.col("prior")), F.coalesce(F.col("up"), F.lit(0.0)))).alias("s")))
     good = conf.where((F.col("c") >= CONFIDENCE) & F.expr(_SUPPORTED)).select(F.col("pattern").alias("key"), "c")
     shapes = (score.where(F.col("pattern").startswith("id_number\tM")).join(conf.select("pattern", "c"), "pattern").groupBy("instance")
               .agg((F.sum(F.col("c") * F.col("n")) / F.sum("n")).alias("c"), F.sum("n").alias("n")).where(f"n >= {SUPPORT}"))
@@ -485,6 +565,10 @@ def decide(found: list[tuple[int, int, str]], cands: list[tuple], patterns: dict
                 ok = conf > 0 or prior < 0.8 and " " in inst
             elif prior >= 0.4:
                 ok = conf > 0 or prior >= 0.6
+            elif prior <= ANYWHERE:
+                # marks alone, as between a full stop and a colon, tell nothing of what was cut out there
+                left, around, right = (patterns.get(p, 0.0) if any(w[:1].isalnum() for w in p.split("\t")[2:]) else 0.0 for p in keys)
+                ok = around >= CONFIDENCE or min(left, right) >= CONFIDENCE
             else:
                 # what no seed supports needs the word before it in the pattern too
                 near = max((patterns[p] for p in keys[:2] if p in patterns), default=0.0)
