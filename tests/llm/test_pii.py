@@ -100,3 +100,8 @@ def test_names_without_capitals_outside_of_frames(spark):
     assert got.get("昨天律师慕容听雪出庭了。") == ["慕容听雪"] and got.get("昨天律师上官若兰出庭了。") == ["上官若兰"]
     assert got.get("आज वकील नंदिनी अग्निहोत्री आए थे।") == ["नंदिनी अग्निहोत्री"]
     assert not {"法院审查了合同。", "费用包括合同。", "The court may grant rent about it."} & set(got)
+
+
+@pytest.mark.parametrize("mail", ["a ( at ) b.example", "a [ at ] b.example", "a[ at ]b.example", "a ( at) b.example", "a [\nat\n] b [dot] example"])
+def test_every_form_of_the_mark_is_searched_for(mail):
+    assert [(a, b, k) for a, b, k in P.structured(f"Mail {mail} now.")] == [(5, 5 + len(mail), "email")]

@@ -66,6 +66,8 @@ _STREET = (r"Street|St\.|Avenue|Ave\.?|Road|Rd\.?|Boulevard|Blvd\.?|Lane|Ln\.?|C
 _DOT, _AT = r"(?:\.| ?[\[(] ?dot ?[\])] ?| dot )", r"(?:@| ?[\[(] ?at ?[\])] ?| at )"
 EMAIL = re.compile(
     r"[A-Za-z0-9][A-Za-z0-9_%+'-]*(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[A-Za-z0-9_%+-]+)*\s?(?:@|[\[(]\s?at\s?[\])])\s?[A-Za-z0-9][A-Za-z0-9-]*(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[A-Za-z0-9][A-Za-z0-9-]*)+")
+#: What stands for the mark in an address that EMAIL can find, where the mark itself doesn't.
+_AT_MARK = re.compile(r"[\[(]\s?at\s?[\])]")
 SPELLED = re.compile(
     r"\b[A-Za-z0-9]+(?: (?:dot|underscore|dash|hyphen|plus|minus) [A-Za-z0-9]+)* at [A-Za-z0-9]+(?: (?:dash|hyphen|minus) [A-Za-z0-9]+)*(?: dot [A-Za-z0-9]+(?: (?:dash|hyphen|minus) [A-Za-z0-9]+)*)+\b")
 PHONE = re.compile(
@@ -231,7 +233,7 @@ def structured(text: str) -> list[tuple[int, int, str]]:
         if not any(x < b and a < y for x, y, _ in out):
             out.append((a, b, kind))
 
-    if "@" in text or " at]" in text or "[at" in text or "(at" in text:
+    if "@" in text or _AT_MARK.search(text):
         for m in EMAIL.finditer(text):
             add(m.start(), m.end(), "email")
     if " dot " in text:
