@@ -30,3 +30,14 @@ def test_positions_and_long_text():
     got = scan(t)
     assert [t[a:b] for a, b, _ in got] == ["uh", "(laughter)"]
     assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("text,want", [
+    ("(Laughter from the audience in the courtroom) Yes.", [("annotation", "(Laughter from the audience in the courtroom)")]),
+    ("(" + "long pause and " * 20 + "silence) Yes.", [("annotation", "(" + "long pause and " * 20 + "silence)")]),
+    ("(Laughter) " * 40 + "[0:03] THE COURT: Yes.", [("annotation", "(Laughter)")] * 40 + [("timestamp", "[0:03]"), ("label", "THE COURT:")]),
+    ("(笑) はい。(Risas) [Gelächter] <Rires dans la salle> (смех)", [("annotation", x) for x in ("(笑)", "(Risas)", "[Gelächter]", "<Rires dans la salle>", "(смех)")]),
+    ("Euh, oui. Ähm, ja. えーと、はい。", [("filler", x) for x in ("Euh", "Ähm", "えーと")]),
+    ("(the audience in the courtroom laughed) (", []), ("( " * 3000 + "x)", [])])
+def test_nothing_depends_on_length(text, want):
+    assert spans(text) == want
