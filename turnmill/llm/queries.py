@@ -26,7 +26,7 @@ def _turn_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ends of the sentences of every current turn."""
     laid = durable(lay_out_all(_turn_texts(spark, sf_dir), TURN, "text"))
-    out = sentences(laid, TURN, train(laid))
+    out = sentences(laid, TURN, train(laid, table(spark, sf_dir, "turns")))
     return out.select("transcript_id", F.col("turn_index").cast("long").alias("turn_index"), F.col("end_char"))
 
 
@@ -42,7 +42,7 @@ def turn_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = current_rows(table(spark, sf_dir, "turns").select(*cols), TURN, "loaded_at", [F.col("text"), F.col("start"), F.col("stop"), F.col("duration")])
     sized = oversized(now, "text", "start", "stop", "duration", limits).withColumn("long_text", F.when(F.col("over"), F.col("text")))
     laid = durable(lay_out_all(sized, [*TURN, "over", "span_us", "size", "timed", "long_text"], "text", silent=True))
-    return split_oversized(laid.where("over"), TURN, train(laid), limits)
+    return split_oversized(laid.where("over"), TURN, train(laid, table(spark, sf_dir, "turns")), limits)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
