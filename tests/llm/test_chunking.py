@@ -75,3 +75,17 @@ def test_kinds(text, kinds):
     pts = C.cut_points(text, [len(text)], None, False, L)
     assert {k for _, _, k in pts} == kinds and pts[-1][1] == len(text)
     assert all(a[0] < b[0] for a, b in zip(pts, pts[1:]))
+
+
+def test_sentences_before_words(spark):
+    """No piece ends inside a sentence where one of its reach ends with a sentence."""
+    rng = random.Random(9)
+    rows = [(i, " ".join("The court" + " met" * rng.choice([2, 3, 9, 18, 21, 22, 30]) + "." for _ in range(rng.randint(3, 9))), None, None, None, "") for i in range(60)]
+    got = pieces(spark, rows)
+    for i, t, *_ in rows:
+        ends = [k + 1 for k, c in enumerate(t) if c == "."]
+        at = 0
+        for p in got.get(i, []):
+            if p.cut != C.NATURAL:
+                assert not [e for e in ends if at < e <= at + 100]
+            at = p.end_char

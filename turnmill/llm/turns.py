@@ -139,7 +139,8 @@ def settle_speakers(marked: DataFrame, keys: list[str], recording: str, people:
     people: (speaker_id, name), everyone known; present: (recording, speaker_id), who is known to speak there; chiefs:
     (recording, speaker_id), who presides there. A written name is looked up among those present, with at most one slip
     in the surname, then among all with the same full name, then among all with the same surname; where that names
-    several, nothing tells who speaks. Joins are on names and their variants; no pairs of all with all are made.
+    several, nothing tells who speaks. Joins are on names and their variants; no pairs of all with all are made, and names that
+    several people share are reduced to one row, or none, before they are joined.
     """
     named = people.where(F.col("speaker_id").isNotNull() & F.col("name").isNotNull()).groupBy("speaker_id").agg(F.min("name").alias("name"))
     first, sur = _name_columns(F.col("name"))
@@ -150,7 +151,9 @@ def settle_speakers(marked: DataFrame, keys: list[str], recording: str, people:
     here = present.where(F.col("speaker_id").isNotNull()).distinct().join(named, "speaker_id").withColumn("v", F.explode(_variants(F.col("sur0"))))
     near = (unknown.withColumn("v", F.explode(_variants(F.col("surname")))).join(here.select(recording, "v", "speaker_id", "first0", "sur0"), [recording, "v"])
             .where(first_ok).select(*keys, "rank", "speaker_id", F.when(F.col("surname") == F.col("sur0"), 0).otherwise(1).alias("step")).distinct())
-    full = (unknown.where("first <> ''").join(named, (F.col("surname") == F.col("sur0")) & (F.col("first") == F.col("first0")))
+    # one row per full name, however many people have it
+    same = named.groupBy("sur0", "first0").agg(F.min("speaker_id").alias("speaker_id"), F.max("speaker_id").alias("hi")).where("speaker_id = hi").drop("hi")
+    full = (unknown.where("first <> ''").join(same, (F.col("surname") == F.col("sur0")) & (F.col("first") == F.col("first0")))
             .select(*keys, "rank", "speaker_id", F.lit(2).alias("step")))
     only = named.groupBy("sur0").agg(F.count(F.lit(1)).alias("n"), F.min("speaker_id").alias("speaker_id"), F.min("first0").alias("first0")).where("n = 1")
     wide = (unknown.join(only, F.col("surname") == F.col("sur0")).where(first_ok).select(*keys, "rank", "speaker_id", F.lit(3).alias("step")))
