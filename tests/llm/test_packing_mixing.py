@@ -86,3 +86,39 @@ def test_mixture_meets_shares(spark):
 def test_plan():
     assert X.plan({"a": 100, "b": 100}, {"a": (0.8, 1), "b": (0.2, 4)}) == {"a": 1.0, "b": 0.25}
     assert X.plan({}, {"a": (1.0, 1)}) == {} and X.plan({"a": 10}, {"a": (1.0, 2)}, size=1000) == {"a": 2.0}
+
+
+@pytest.mark.parametrize("shards", [2, 5, 20])
+def test_recall_of_neighbours_across_shards(spark, data, shards):
+    """The best ten of every seed, a bounded sample, against brute force over all texts: whatever the shards, all of them."""
+    texts = token_sizes(spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet"), ["doc_id"], "text", terms=True).where("tokens > 0").select(
+        F.lit(0).alias("group"), F.col("doc_id").alias("uid"), "tokens", F.col("tokens").alias("rest"), "bins", "counts").cache()
+    idf, mean = P.inverse_frequencies(texts)
+    seeds = texts.where("uid % 20 = 0").select("group", "uid", "bins", F.lit(10**6).cast("long").alias("room"))
+    free = texts.where("uid % 20 <> 0")
+    got = {r.seed: r.candidates for r in P.ask_all(seeds, free, idf, mean, shards).collect()}
+    rows = free.orderBy("uid").collect()
+    whole = P.Shard(np.array([r.tokens for r in rows]), [np.array(r.bins) for r in rows], [np.array(r.counts, float) for r in rows], idf, mean)
+    hit = asked = 0
+    for s in seeds.collect():
+        score = whole.scores(np.array(s.bins), np.array([0, len(s.bins)]))[0]
+        best = np.lexsort((np.arange(len(rows)), -score))[:10]
+        edge = score[best[-1]]
+        near = {r.uid: x for r, x in zip(rows, score)}
+        assert len(got[s.uid]) >= 10
+        hit += sum(near[u] >= edge - 1e-3 for u in got[s.uid][:10])
+        asked += 10
+    assert hit / asked >= 0.99
+
+
+def test_texts_are_placed_by_retrieval(spark):
+    sized = token_sizes(docs(spark), ["doc_id"], "text", terms=True)
+    full = P.placed(sized, "doc_id", 512, shard=100)
+    n = {r.how: r["count"] for r in full.where("rest > 0").groupBy("how").count().collect()}
+    assert n[P.RETRIEVED] > n.get(P.SIZED, 0) and full.where("box is null or how is null").count() == 0
+
+
+def test_terms_of_scripts_without_spaces():
+    from turnmill.llm.tokens import terms
+
+    assert terms("The court 法院审查 ab ศาล") == ["the", "court", "法院", "院审", "审查", "ศา", "าล"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import os
 import re
 import zlib
 from collections import Counter
@@ -14,15 +15,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Where the vocabulary files are.
-TOKENIZERS = "/opt/tokenizers"
+#: Where the vocabulary files are, unless the environment names another folder.
+TOKENIZERS = os.environ.get("TURNMILL_TOKENIZERS", "/opt/tokenizers")
 #: File of byte-level merges.
 RANKS = "byte_bpe_50k.tiktoken"
 #: How that vocabulary splits a text before its merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bins of terms: document frequencies are a table of this fixed size.
 TERM_BINS = 1 << 18
-_TERM = re.compile(r"[^\W\d_]{3,}")
+#: Scripts without spaces between words: Thai, Lao, Myanmar, Khmer, Tibetan, kana, Han.
+_UNSPACED = "฀-๿຀-໿က-႟ក-៿ༀ-࿿぀-ヿ㐀-䶿一-鿿豈-﫿"
+_TERM = re.compile(rf"[{_UNSPACED}]+|[^\W\d_{_UNSPACED}]{{3,}}")
+_UNSPACED_RUN = re.compile(f"[{_UNSPACED}]")
 
 
 @lru_cache(maxsize=2)
@@ -35,9 +39,20 @@ def encoder(folder: str, ranks: str = RANKS):
     return tiktoken.Encoding("public", pat_str=SPLIT, mergeable_ranks=merges, special_tokens={})
 
 
+def terms(text: str) -> list[str]:
+    """Words of three letters and more; in scripts without spaces all pairs of neighbouring letters."""
+    out = []
+    for w in _TERM.findall(text.lower()):
+        if w[0] >= "\u0e00" and _UNSPACED_RUN.match(w):
+            out += [w[i:i + 2] for i in range(len(w) - 1)]
+        else:
+            out.append(w)
+    return out
+
+
 def term_bins(text: str) -> Counter:
     """How often each term, as a bin, occurs in a text."""
-    return Counter(zlib.crc32(w.encode()) & (TERM_BINS - 1) for w in _TERM.findall(text.lower()))
+    return Counter(zlib.crc32(w.encode()) % TERM_BINS for w in terms(text))
 
 
 def token_sizes(df: DataFrame, keys: list[str], column: str, folder: str = TOKENIZERS, terms: bool = False) -> DataFrame:
