@@ -105,3 +105,19 @@ def test_names_without_capitals_outside_of_frames(spark):
 @pytest.mark.parametrize("mail", ["a ( at ) b.example", "a [ at ] b.example", "a[ at ]b.example", "a ( at) b.example", "a [\nat\n] b [dot] example"])
 def test_every_form_of_the_mark_is_searched_for(mail):
     assert [(a, b, k) for a, b, k in P.structured(f"Mail {mail} now.")] == [(5, 5 + len(mail), "email")]
+
+
+def test_rounds_settle(learned):
+    """More rounds than it takes change no confidence by more than what the damping leaves to come."""
+    scanned = learned[2]
+    settled = {r["key"]: r["c"] for r in P.learn_table(scanned).collect()}
+    longer = {r["key"]: r["c"] for r in P.learn_table(scanned, rounds=30).collect()}
+    left = P.SETTLED * P.DAMPING / (1 - P.DAMPING)
+    assert settled and all(abs(longer.get(k, P.CONFIDENCE) - c) <= left for k, c in settled.items()) and all(c - P.CONFIDENCE <= left for k, c in longer.items() if k not in settled and not k.startswith(P.SHAPE))
+
+
+def test_name_filter_grows_with_its_words(spark):
+    few, many = (P.name_filter(spark.range(n).selectExpr("concat('a', id, ' b', id) as name")) for n in (10, 200_000))
+    assert len(few) * 8 == P.LEAST_BITS and len(many) * 8 >= P.WORD_BITS * 400_000
+    names = P.NameFilter(many)
+    assert all(names.first(f"a{i}") for i in range(1000)) and sum(names.first(f"zz{i}") for i in range(5000)) < 30

@@ -118,12 +118,16 @@ _DIGIT = re.compile(r"\d")
 _INITIAL = re.compile(r"[A-Z]\.")
 _ROMAN = re.compile(r"[IVXLC]+")
 
-#: Bits of the filter of known name words; its size is fixed, whatever the number of people.
-FILTER_BITS = 1 << 21
+#: Bits of the filter of known name words: so many a word, at least and at most. At 24 bits a word one unknown word in 600
+#: passes for a known one; at the most of 128 MB that holds up to 44 million different words.
+WORD_BITS, LEAST_BITS, MOST_BITS = 24, 1 << 21, 1 << 30
 #: Distinct instances that a pattern must have, and its least confidence.
 SUPPORT, CONFIDENCE = 3, 0.6
 _SUPPORTED = f"m >= {SUPPORT} or (k > {SUPPORT} and m >= 2) or (k >= {SUPPORT} and pattern like 'id\\_number%')"
-ROUNDS = 6
+#: Part of its patterns' confidence that an instance passes on: scores fade with each step away from a seed, so that rounds
+#: draw near one result. They end when no instance moves by SETTLED or more; what is left to come is then below
+#: SETTLED * DAMPING / (1 - DAMPING).
+DAMPING, SETTLED = 0.9, 0.005
 #: Priors of candidates cut out at every place, which only patterns on both sides can make a name, and of those of them
 #: that patterns shared with names in capitals don't learn from, since nearly all are none.
 ANYWHERE, UNLEARNED = 0.05, 0.04
@@ -135,14 +139,14 @@ class NameFilter:
     """First names and surnames of known people in a bit table of fixed size (a word may be taken for one by chance)."""
 
     def __init__(self, bits: bytes):
-        self.bits = np.frombuffer(bits, np.uint8)
+        self.bits, self.size = np.frombuffer(bits, np.uint8), 8 * len(bits)
         self._seen: dict[str, int] = {}
 
     @staticmethod
-    def places(kind: str, word: str) -> tuple[int, int, int]:
+    def places(kind: str, word: str, size: int) -> tuple[int, int, int]:
         a = zlib.crc32(f"{kind}\t{word}".encode())
         b = zlib.adler32(f"{word}\t{kind}".encode()) ^ (a >> 7)
-        return a % FILTER_BITS, (a * 31 + b) % FILTER_BITS, (a * 131 + 7 * b) % FILTER_BITS
+        return a % size, (a * 31 + b) % size, (a * 131 + 7 * b) % size
 
     def has(self, word: str) -> int:
         """1 first name, 2 surname, 3 both, 0 neither."""
@@ -150,7 +154,7 @@ class NameFilter:
         if got is None:
             got = 0
             for flag, kind in ((1, "f"), (2, "s")):
-                if all(self.bits[p >> 3] >> (p & 7) & 1 for p in self.places(kind, word)):
+                if all(self.bits[p >> 3] >> (p & 7) & 1 for p in self.places(kind, word, self.size)):
                     got |= flag
             if len(self._seen) > 200_000:
                 self._seen.clear()
@@ -168,7 +172,13 @@ class NameFilter:
 
 
 def name_filter(people: DataFrame) -> bytes:
-    """The filter from a table with ``name``: first words as first names, last words as surnames. Only set bits come to the driver, a bounded number."""
+    """The filter from a table with ``name``: first words as first names, last words as surnames.
+
+    It has WORD_BITS for each different word, by an estimate within 5 %. Only set bits come to the driver, at most MOST_BITS.
+    """
+    word = F.split(F.lower(F.trim(F.col("name").cast("string"))), r"\s+")
+    n = people.select(F.explode(F.array(F.concat(F.lit("f"), F.element_at(word, 1)), F.concat(F.lit("s"), F.element_at(word, -1)))).alias("w")).agg(F.approx_count_distinct("w")).first()[0]
+    size = min(max(1 << (WORD_BITS * n).bit_length(), LEAST_BITS), MOST_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits: set[int] = set()
@@ -176,11 +186,11 @@ def name_filter(people: DataFrame) -> bytes:
             for n in b.column(0).to_pylist():
                 w = n.lower().split() if n else []
                 if len(w) > 1:
-                    bits.update(NameFilter.places("f", w[0]))
-                    bits.update(NameFilter.places("s", w[-1]))
+                    bits.update(NameFilter.places("f", w[0], size))
+                    bits.update(NameFilter.places("s", w[-1], size))
         yield pa.RecordBatch.from_pydict({"bit": pa.array(sorted(bits), pa.int32())})
 
-    table = np.zeros(FILTER_BITS // 8, np.uint8)
+    table = np.zeros(size // 8, np.uint8)
     at = people.select(F.col("name").cast("string")).mapInArrow(run, "bit int").distinct().toPandas()["bit"].to_numpy()
     np.bitwise_or.at(table, at >> 3, (1 << (at & 7)).astype(np.uint8))
     return table.tobytes()
@@ -508,40 +518,44 @@ def occurrences(scanned: DataFrame) -> DataFrame:
     return rows.groupBy("pattern", "instance").agg(F.max("prior").alias("prior"), F.max("firm").alias("firm"), F.count(F.lit(1)).alias("n"))
 
 
-def learn_table(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def learn_table(scanned: DataFrame, rounds: int | None = None) -> DataFrame:
     """(key, c): confidence of all confident patterns, and of forms of identity numbers (SHAPE before the form), from scoring
     patterns and instances against each other. However many there are, they stay a table in the shared folder.
 
     A pattern's confidence is the mean score of what stands in it, drawn to the low side where that is little; the score
-    of an instance that can carry one is the greater of its prior and the confidence of its patterns, in which confident
-    patterns weigh more. Identity
-    numbers are instances by form and by the pattern they stand in.
+    of an instance that can carry one is the greater of its prior and, damped, the confidence of its patterns, in which confident
+    patterns weigh more. Identity numbers are instances by form and by the pattern they stand in. Rounds go on until the
+    confidences have settled, or are as many as ``rounds``.
     """
     graph = durable(occurrences(scanned))
     # a pattern met once says nothing about anything else
     wide = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("k"))
     keep = wide.where(_SUPPORTED).select("pattern")
-    edges = durable(graph.join(keep, "pattern"))
-    score = edges.select("pattern", "instance", "prior", "firm", "n", F.col("prior").alias("s"))
-    conf = None
-    for _ in range(rounds):
-        conf = score.groupBy("pattern").agg(
-            ((F.sum(F.col("s") * F.col("n")) + 0.1) / (F.sum("n") + 0.5)).alias("c"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("k"))
-        conf = durable(conf)
-        inst = (edges.where("firm").join(conf.select("pattern", "c", "m"), "pattern").groupBy(F.substring_index("pattern", "\t", 1).alias("kind"), "instance")
+    start = graph.join(keep, "pattern").withColumn("kind", F.substring_index("pattern", "\t", 1))
+    score = durable(start.select("pattern", "kind", "instance", "prior", "firm", "n", F.col("prior").alias("s"), F.lit(1.0).alias("moved")))
+
+    def confidences() -> DataFrame:
+        return score.groupBy("pattern").agg(((F.sum(F.col("s") * F.col("n")) + 0.1) / (F.sum("n") + 0.5)).alias("c"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("k"))
+
+    done = 1
+    while (rounds is None or done < rounds) and not score.where(f"moved >= {SETTLED}").isEmpty():
+        c = confidences().select(F.col("pattern").alias("_p"), "c")
+        inst = (score.where("firm").join(c, F.col("pattern") == F.col("_p")).groupBy(F.col("kind").alias("_k"), F.col("instance").alias("_i"))
                 .agg((F.sum(F.col("c") * F.col("c") * F.col("n")) / F.sum(F.col("c") * F.col("n"))).alias("up"), F.max("prior").alias("best")))
-        score = durable(edges.withColumn("kind", F.substring_index("pattern", "\t", 1)).join(inst, ["kind", "instance"], "left").select(
-            "pattern", "instance", "prior", "firm", "n",
-            # what is a seed in one place is as likely a name where it was only cut out
-            F.when(F.col("prior") == 0, 0.0).otherwise(F.greatest(
-                F.when(F.col("prior") == ANYWHERE, F.coalesce("best", "prior")).otherwise(F.col("prior")), F.coalesce(F.col("up"), F.lit(0.0)))).alias("s")))
+        # what is a seed in one place is as likely a name where it was only cut out
+        own = F.when(F.col("prior") == ANYWHERE, F.coalesce("best", "prior")).otherwise(F.col("prior"))
+        now = F.when(F.col("prior") == 0, 0.0).otherwise(F.greatest(own, F.coalesce(F.col("up") * DAMPING, F.lit(0.0))))
+        score = durable(score.join(inst, (F.col("kind") == F.col("_k")) & (F.col("instance") == F.col("_i")), "left").select(
+            "pattern", "kind", "instance", "prior", "firm", "n", now.alias("s"), F.abs(now - F.col("s")).alias("moved")))
+        done += 1
+    conf = durable(confidences())
     good = conf.where((F.col("c") >= CONFIDENCE) & F.expr(_SUPPORTED)).select(F.col("pattern").alias("key"), "c")
     shapes = (score.where(F.col("pattern").startswith("id_number\tM")).join(conf.select("pattern", "c"), "pattern").groupBy("instance")
               .agg((F.sum(F.col("c") * F.col("n")) / F.sum("n")).alias("c"), F.sum("n").alias("n")).where(f"n >= {SUPPORT}"))
     return durable(good.unionByName(shapes.select(F.concat(F.lit(SHAPE), "instance").alias("key"), "c")))
 
 
-def learn(scanned: DataFrame, rounds: int = ROUNDS) -> tuple[dict[str, float], dict[str, float]]:
+def learn(scanned: DataFrame, rounds: int | None = None) -> tuple[dict[str, float], dict[str, float]]:
     """``learn_table`` as two dictionaries, for ``find`` on single texts: all patterns, and all forms. They have to fit the driver."""
     got = {r["key"]: r["c"] for r in learn_table(scanned, rounds).collect()}
     return {k: c for k, c in got.items() if not k.startswith(SHAPE)}, {k[len(SHAPE):]: c for k, c in got.items() if k.startswith(SHAPE)}
