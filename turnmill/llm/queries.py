@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnmill.llm.chunking import FORCED, Limits, oversized, split_oversized
@@ -171,5 +171,58 @@ def p7_clean_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _marked_turns(spark, sf_dir).where("said").select("transcript_id", "turn_index", "person", "clean_text")
 
 
-QUERIES = {"p4_pieces": p4_pieces, "p7_clean_turns": p7_clean_turns, "p8_containers": p8_containers, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
-ORACLES = {"p5_found": P5_SQL}
+def p4_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn above a limit with its length, the characters that no piece covers, and the pieces above the limit of characters."""
+    limits = _limits(spark, sf_dir)
+    pieces = turn_pieces(spark, sf_dir)
+    # a turn's pieces are few; what lies between one and those before it
+    w = Window.partitionBy(*TURN).orderBy("piece_no").rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.greatest(F.col("start_char") - F.coalesce(F.max("end_char").over(w), F.lit(0)), F.lit(0))
+    return pieces.withColumn("gap", gap).groupBy(*TURN).agg(F.max("end_char").alias("characters"), F.sum("gap").alias("uncovered"),
+                                                            F.count_if(F.col("end_char") - F.col("start_char") > limits.chars).alias("too_long"))
+
+
+P4_COVER_SQL = """
+with cur as (select * from turns where transcript_id is not null and turn_index is not null
+  qualify row_number() over (partition by transcript_id, turn_index order by loaded_at desc nulls last, text desc nulls last, start desc nulls last, stop desc nulls last, duration desc nulls last) = 1),
+l as (select max(limit_value) filter (where unit = 'chars') as c, max(limit_value) filter (where unit = 'seconds') as s from size_limits where item = 'turn')
+select transcript_id, turn_index, cast(coalesce(length(text), 0) as bigint) as characters, cast(0 as bigint) as uncovered, cast(0 as bigint) as too_long
+from cur, l where coalesce(length(text), 0) > c or round(case when start is not null and stop is not null then stop - start else duration end, 6) > s
+"""
+
+
+def p5_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many splits and groups each case, as term and docket, lies in; and every current transcript once."""
+    case = _case_and_speaker_keys(spark, sf_dir)[1].where("key like 'c%'")
+    return p5_splits(spark, sf_dir).join(case, F.col("id") == F.col("transcript_id"), "left").groupBy(F.coalesce("key", F.col("transcript_id").cast("string")).alias("_k")).agg(
+        F.min("transcript_id").alias("first_transcript"), F.count(F.lit(1)).alias("transcripts"), F.count_distinct("split_name").alias("splits"), F.count_distinct("group_id").alias("groups")).drop("_k")
+
+
+P5_TOGETHER_SQL = """
+with tr as (select * from transcripts where id is not null qualify row_number() over (partition by id order by loaded_at desc nulls last, case_docket desc nulls last, term desc nulls last) = 1),
+k as (select id, case when regexp_matches(case_docket, '[0-9]') then 'c|' || trim(term) || '|' ||
+  list_aggregate(list_transform(regexp_extract_all(case_docket, '[0-9]+'), lambda x: cast(cast(x as bigint) as varchar)), 'string_agg', '-') end as key from tr)
+select min(id) as first_transcript, count(*) as transcripts, cast(1 as bigint) as splits, cast(1 as bigint) as groups from k group by coalesce(key, cast(id as varchar))
+"""
+
+
+def p8_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its containers' greatest load against the limit, and whether its pieces join without gap or overlap; only one above the limit has several."""
+    limit = table(spark, sf_dir, "size_limits").where("item = 'container'").first()["limit_value"]
+    rows = durable(p8_containers(spark, sf_dir))
+    load = rows.groupBy("container").agg((F.sum("tokens") <= limit).alias("fits"))
+    each = rows.join(load, "container").groupBy("doc_id").agg(
+        F.bool_and("fits").alias("fits"), F.sum("tokens").alias("t"), F.max("end_token").alias("e"), F.min("start_token").alias("s"), F.count(F.lit(1)).alias("n"))
+    return each.select("doc_id", "fits", ((F.col("t") == F.col("e")) & (F.col("s") == 0) & ((F.col("n") == 1) | (F.col("t") > limit))).alias("whole"))
+
+
+def p9_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: whether its share is within a hundredth of its target, and no text is taken more often than allowed."""
+    return p9_shares(spark, sf_dir).select("source", "target_share", (F.abs(F.col("actual_share") - F.col("target_share")) <= 0.01).alias("near"), (F.col("most_copies") <= F.col("max_repeats")).alias("within"))
+
+
+QUERIES = {"p4_pieces": p4_pieces, "p7_clean_turns": p7_clean_turns, "p8_containers": p8_containers, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p4_cover": p4_cover, "p5_together": p5_together, "p8_whole": p8_whole, "p9_bounds": p9_bounds, "p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
+ORACLES = {
+    "p5_found": P5_SQL, "p4_cover": P4_COVER_SQL, "p5_together": P5_TOGETHER_SQL,
+    "p8_whole": "select doc_id, true as fits, true as whole from documents where doc_id is not null",
+    "p9_bounds": "select source, target_share, true as near, true as within from mix_targets"}
