@@ -118,3 +118,39 @@ def test_artifacts_of_nothing(spark):
     assert A.artifact_counts(df, "t").count() == 0
     need = A.rules_wanting_examples(A.artifact_counts(df, "t"), spark.createDataFrame([], "category string, path string"), 1)
     assert need.count() == 18
+
+
+def test_fetch_classes_of_errors(spark):
+    """Codes count as codes: digits and words in a text that only look like one don't."""
+    from turnmill.functions import ids
+
+    rows = [(500, "timeout on host 4041", "failed"), (None, "port 4030 refused", "transient"), (None, "Unrecognized S3 URL format: http://x", "skipped"), (None, "An error occurred (NoSuchKey)", "skipped"),
+            (None, "AccessDenied", "skipped"), (404, None, "skipped"), (403, "", "skipped"), (200, None, "new"), (503, "x", "transient"), (400, "x", "failed"), (None, None, "transient")]
+    df = spark.createDataFrame(rows, "status int, error string, want string")
+    got = df.select(ids.fetch_class(df.status, df.error, F.lit(False)).alias("c"), "want").collect()
+    assert [r.c for r in got] == [r.want for r in got]
+
+
+def test_artifacts_see_blanks_and_digits_of_all_scripts(spark):
+    from turnmill.functions import artifacts as A
+
+    got = {(r.category, r.token) for r in A.artifact_counts(spark.createDataFrame([("John F. Doe, No. 12-34",)], "t string"), "t").collect()}
+    assert any(c == "likely_initials" for c, _ in got) and any("12-34" in t for _, t in got)
+
+
+def test_shared_folder_is_asked_for_on_clusters():
+    import pytest
+    from turnmill.session import shared_dir
+
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session)

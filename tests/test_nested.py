@@ -35,3 +35,18 @@ def test_tagged_rows_read_back(spark, data, tmp_path):
 def test_empty_table(spark):
     assert emit_raw(spark.createDataFrame([], "record_id long, payload string")).count() == 0
     assert emit_raw(spark.createDataFrame([(None, "{}"), (1, None)], "record_id long, payload string")).count() == 0
+
+
+def test_visitor_of_any_depth(spark):
+    """Lists below lists, maps, nulls at every level; what is not named stays in the content of its parent."""
+    from turnmill.operators.nested import emit_children
+
+    rows = [(1, {"parts": [{"name": "a", "notes": [{"t": "x"}, None, {"t": "y"}]}, None, {"name": "b", "notes": None}], "links": {"k": "v", "z": None}, "other": [1]}, "clash"), (2, None, None), (None, None, "z")]
+    df = spark.createDataFrame(rows, "id long, doc struct<parts:array<struct<name:string,notes:array<struct<t:string>>>>,links:map<string,string>,other:array<int>>, child string")
+    got = {(r.record_id, r.child, r.parent_key, r.child_key, r.payload) for r in emit_children(df, "docs", "id", {"doc.parts": "part", "doc.parts.notes": "note", "doc.links": "link"}).collect()}
+    assert got == {(1, "part", "", "0", '{"name":"a"}'), (1, "part", "", "1", '{"name":"b"}'), (1, "note", "0", "0", '{"t":"x"}'), (1, "note", "0", "1", '{"t":"y"}'), (1, "link", "", "k", '{"value":"v"}')}
+
+
+def test_flat_tables_have_their_schemas(spark, data):
+    tables = P.flat_tables(spark, data)
+    assert dict(tables[("cases", "timeline")].dtypes)["event"] == "string" and tables[("raw_records", "text_block")].where("text is not null and start is not null").count() > 0

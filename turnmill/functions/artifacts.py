@@ -83,7 +83,8 @@ def _set_off(opener: str, closer: str) -> Callable[[Column], Column]:
 def artifact_entries(text: Column) -> Column:
     """Array of (category, token), with repetitions; empty for a null or empty text."""
     t = F.coalesce(text, F.lit(""))
-    found = lambda p, g: F.regexp_extract_all(t, F.lit(p), F.lit(g))
+    # digits, blanks and word boundaries of all scripts
+    found = lambda p, g: F.regexp_extract_all(t, F.lit("(?U)" + p), F.lit(g))
     parts = [_tagged(c, _tidy(found(p, g))) for c, p, g in PATTERNS]
     ids = found(CASE_ID, 1)
     parts.append(F.transform(ids, lambda x: F.struct(F.when(x.rlike(VOTE), "vote_tally").otherwise("case_ids").alias("category"), x.alias("token"))))
@@ -115,7 +116,7 @@ def name_entries(name: Column) -> Column:
     n = F.coalesce(name, F.lit(""))
     return F.concat(
         _tagged("abbreviations", F.array_compact(F.array(F.when(n.contains(" Jr."), "Jr."), F.when(n.contains(" Sr."), "Sr.")))),
-        _tagged("likely_initials", F.regexp_extract_all(n, F.lit(r"\b([A-Z])\."), F.lit(0))))
+        _tagged("likely_initials", F.regexp_extract_all(n, F.lit(r"(?U)\b([A-Z])\."), F.lit(0))))
 
 
 def artifact_counts(df: DataFrame, text: str) -> DataFrame:

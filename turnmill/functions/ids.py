@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 RECORDING_MARKS = (("-opinion-dissent", "dissent"), ("-opinion-concurrence", "concurrence"), ("-opinion-concur", "concurrence"), ("-opinion", "opinion"), ("-argument", "oral_argument"))
 #: Letter after the date at the head of an older recording id.
 RECORDING_LETTERS = {"a": "oral_argument", "o": "opinion", "r": "oral_argument"}
+#: Names in the text of an error that say that there is nothing to fetch.
+GONE = "NoSuchKey|AccessDenied|Unrecognized (?:S3 )?URL"
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 #: First term that was recorded digitally.
 DIGITAL_FROM = 2006
@@ -174,6 +176,6 @@ def bucket_and_key(url: Column) -> Column:
 def fetch_class(status: Column, error: Column, from_cache: Column, store: bool = False) -> Column:
     """cached, new, skipped (403, 404 or a name for these), transient (to be tried again) or failed."""
     again = [429, 502, 503, 504] + ([500] if store else [])
-    gone = status.isin(403, 404) | error.rlike("NoSuchKey|AccessDenied|Unrecognized URL|403|404")
+    gone = status.isin(403, 404) | error.rlike(GONE)
     return (F.when(F.coalesce(from_cache, F.lit(False)), "cached").when(status.between(200, 299), "new").when(F.coalesce(gone, F.lit(False)), "skipped")
             .when(status.isNull() | status.isin(again), "transient").otherwise("failed"))

@@ -193,6 +193,26 @@ def interruption_merge(spark: SparkSession, d: str) -> DataFrame:
     return T.merge_interruptions(t, "transcript_id", "turn_index").where("merged").select("transcript_id", "turn_index", "speaker_id", "text")
 
 
+#: Turns that are broken off and resumed, in all forms that matter (the test tables hold none), with the text after joining; '' where the turn is gone.
+BROKEN = (
+    (1, 0, 10, "We say that --", "We say that it is so."), (1, 1, 20, "Is it?", "Is it?"), (1, 2, 10, "-- it is so.", ""),
+    (2, 0, 10, "We say –", "We say –"), (2, 1, 20, "word " * 40, "word " * 40), (2, 2, 10, "– no.", "– no."),
+    (3, 0, 10, "One —", "One two."), (3, 1, 20, "Yes.", "Yes."), (3, 2, 10, "— two.", ""), (3, 3, 20, "Three.", "Three."),
+    (4, 0, 10, "One --", "One --"), (4, 1, 10, "Same.", "Same."), (4, 2, 10, "-- two.", "-- two."),
+    (5, 0, None, "One --", "One --"), (5, 1, 20, None, None), (5, 2, 10, "-- two.", "-- two."))
+
+
+def _literal(v: object) -> str:
+    return "null" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+
+
+@query("select * from (values " + ", ".join(f"({r}, {i}, {_literal(s)}, {_literal(after)})" for r, i, s, _, after in BROKEN if after != "") + ") v(transcript_id, turn_index, speaker_id, text)")
+def interruption_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Broken-off turns in all forms, joined where one resumes another after a short turn."""
+    t = spark.createDataFrame([r[:4] for r in BROKEN], "transcript_id int, turn_index int, speaker_id int, text string")
+    return T.merge_interruptions(t, "transcript_id", "turn_index").select("transcript_id", "turn_index", "speaker_id", "text")
+
+
 # --- speakers -------------------------------------------------------------------------------------------------------
 @query(sql("select transcript_id, term, docket, speaker_id, turns, round(duration_seconds, 3) as duration_seconds, cast(word_count as bigint) as word_count from seen", "seen"))
 def speaker_appearances(spark: SparkSession, d: str) -> DataFrame:
@@ -594,7 +614,10 @@ def frame_energy_cv(spark: SparkSession, d: str) -> DataFrame:
     return e.select("vec_id", F.size("f").cast("long").alias("frames"), F.round(M.mean_of(F.col("f")), 6).alias("mean_rms"), F.round(M.variation(F.col("f")), 6).alias("energy_cv"))
 
 
-@query()
+@query(sql(
+    "select vec_id, case when len(embedding) is null or len(embedding) = 0 or sqrt(list_sum([cast(y as double) * y for y in embedding]) / len(embedding)) < 1e-6 then 'silent' "
+    "when case when m < 1e-6 then 0 else sqrt(list_sum([(x - m) * (x - m) for x in f]) / len(f)) / m end < 0.25 then 'constant_noise' end as problem from (select *, list_sum(f) / len(f) as m from "
+    "(select vec_id, embedding, [sqrt(list_sum([cast(y as double) * y for y in embedding[i * 8 + 1 : i * 8 + 8]]) / 8) for i in range(len(embedding) // 8)] as f from embeddings))"))
 def audio_anomalies(spark: SparkSession, d: str) -> DataFrame:
     """Signals that are silent or of constant noise."""
     e = table(spark, d, "embeddings").select("vec_id", "embedding", M.frame_energies(F.col("embedding"), 8).alias("f"))
@@ -609,7 +632,9 @@ def segment_slice(spark: SparkSession, d: str) -> DataFrame:
         "vec_id", F.size("s").cast("long").alias("n"), F.round(F.aggregate("s", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"))
 
 
-@query()
+@query(sql("select transcript_id, case when b is null then null when b < 1024 then printf('%.1f B', b) when b < 1024 * 1024 then printf('%.1f KB', b / 1024.0) else printf('%.1f MB', b / 1048576.0) end as size, "
+           "format('{:,.1f}', s / 3600.0) as hours, cast(floor(floor(s) / 3600) as bigint) || 'h ' || cast(floor(floor(s) % 3600 / 60) as bigint) || 'm ' || (cast(floor(s) as bigint) % 60) || 's' as hms "
+           "from (select transcript_id, sum(duration) as s, cast(sum(char_count) as double) as b from cur group by 1)", "cur"))
 def hours_and_sizes(spark: SparkSession, d: str) -> DataFrame:
     """Sizes and times as people read them."""
     t = _turns(spark, d, "duration", "char_count").groupBy("transcript_id").agg(F.sum("duration").alias("s"), F.sum("char_count").alias("b"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -61,10 +62,12 @@ _own: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``, which all executors share.
 
-    Only where that is unset (tests, one machine) a temporary folder takes its place.
+    Only where that is unset on one machine (tests) a temporary folder takes its place; on a cluster that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = _own.setdefault("", tempfile.mkdtemp(prefix="turnmill-"))
     return path.rstrip("/")
 

@@ -50,7 +50,19 @@ def running_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def run_once(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Everything that is available, through a query, as a table in memory."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return stream.sparkSession.table(name)
+    """Everything that is available, through a query, as a table in the shared folder.
+
+    Each batch has a folder of its own, so that one that is repeated after a loss replaces itself; in "complete" mode the last one is the result.
+    """
+    spark, out = stream.sparkSession, f"{checkpoint.rstrip('/')}-{name}"
+    done: list[int] = []
+
+    def keep(batch: DataFrame, no: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={no}")
+        done.append(no)
+
+    stream.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    last = [max(done)] if mode == "complete" else sorted(set(done))
+    return spark.read.schema(stream.schema).parquet(*[f"{out}/batch={n}" for n in last])
