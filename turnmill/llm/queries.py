@@ -217,8 +217,12 @@ def p8_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per source: whether its share is within a hundredth of its target, and no text is taken more often than allowed."""
-    return p9_shares(spark, sf_dir).select("source", "target_share", (F.abs(F.col("actual_share") - F.col("target_share")) <= 0.01).alias("near"), (F.col("most_copies") <= F.col("max_repeats")).alias("within"))
+    """Per source: whether its tokens are as near to its target as the largest text allows, and no text is taken more often than allowed."""
+    mixture = durable(p9_mixture(spark, sf_dir))
+    whole = mixture.agg(F.sum(F.col("tokens") * F.col("copies")).alias("all"), F.max("tokens").alias("largest")).first()
+    off = F.abs(F.col("actual_share") - F.col("target_share")) * F.lit(whole["all"])
+    return report(mixture, table(spark, sf_dir, "mix_targets")).select(
+        "source", "target_share", (off <= F.lit(whole["largest"])).alias("near"), (F.col("most_copies") <= F.col("max_repeats")).alias("within"))
 
 
 QUERIES = {"p4_pieces": p4_pieces, "p7_clean_turns": p7_clean_turns, "p8_containers": p8_containers, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p4_cover": p4_cover, "p5_together": p5_together, "p8_whole": p8_whole, "p9_bounds": p9_bounds, "p10_found": p10_found, "p10_redacted": p10_redacted, "p5_found": p5_found, "p5_splits": p5_splits, "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found}
