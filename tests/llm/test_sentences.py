@@ -133,3 +133,20 @@ def test_spark_finds_texts_without_marks(spark):
     m = S.train(laid, df)
     assert [r.end_char for r in S.sentences(laid, ["id"], m).where("id = 99").orderBy("end_char").collect()] == [21, 35, 50]
     assert S.train(laid).unmarked is None
+
+
+def test_texts_without_marks_learn_from_all_texts(spark):
+    """No text is left out of the counts, however many and however long they are."""
+    long = " ".join(["The court met at noon. It rose today. We agree again."] * 60)
+    rows = [(i, f"Word{i} came late. Nobody saw it.") for i in range(20_500)] + [(30_000, long), (30_001, "the court met at noon it rose today we agree again")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    laid = S.lay_out_all(df, ["id"], "text")
+    m = S.train(laid, df)
+    assert [r.end_char for r in S.sentences(laid, ["id"], m).where("id = 30001").orderBy("end_char").collect()] == [21, 35, 50]
+    from turnmill.llm.unmarked import BOUNDARY, GRAM, Unmarked
+
+    whole = Unmarked().fit(S.sentence_words(t, m) for _, t in rows)
+    grams = [("the", "court", "met"), ("it", "rose", "today"), (BOUNDARY, "it", "rose"), ("saw", "it", BOUNDARY), ("it", BOUNDARY, "we"), ("came", "late", BOUNDARY), ("never", "seen", "it"), ("nobody", "saw", "never")]
+    got = {tuple(r[g] for g in GRAM): r["p"] for r in m.unmarked.chances(spark.createDataFrame(grams, GRAM)).collect()}
+    assert got == {g: pytest.approx(whole.chance(*g), rel=1e-12) for g in grams}
+    assert m.unmarked.after == whole.after[()] and m.unmarked.kinds == whole.kinds[()] and m.unmarked.capital == whole.capital

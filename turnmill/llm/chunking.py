@@ -13,13 +13,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnmill.llm.sentences import Model, _types
+from turnmill.llm.sentences import Model, _types, with_chances
 from turnmill.session import durable
 
 NATURAL, WORD, FORCED = 0, 1, 2
@@ -134,8 +135,8 @@ def boundaries(laid: DataFrame, keys: list[str], model: Model, limits: Limits) -
         model = Model(*sent.value)
         for b in batches:
             rows, to = [], []
-            for text, us, timed, end, at, ks, codes in zip(*(b.column(n + i).to_pylist() for i in range(7))):
-                ends = model.ends(end, at, ks, codes) if end is not None else []
+            for text, us, timed, end, *gaps in zip(*(c.to_pylist() for c in b.columns[n:])):
+                ends = model.ends(end, *gaps) if end is not None else []
                 rows.append([(0, 0, NATURAL), *cut_points(text, ends, us, timed, limits)])
                 to.append(successors(rows[-1], timed, limits))
             counts = np.fromiter((len(r) for r in rows), np.int64, len(rows))
@@ -147,8 +148,9 @@ def boundaries(laid: DataFrame, keys: list[str], model: Model, limits: Limits) -
             cols["to"] = pa.array(np.concatenate(to) if to else [], pa.int64())
             yield pa.RecordBatch.from_pydict(cols)
 
-    return laid.select(*keys, "long_text", "span_us", "timed", "laid_end", "laid_at", "laid_keys", "laid_codes").mapInArrow(
-        run, f"{_types(laid, keys)}, timed boolean, m bigint, pos bigint, kind int, to bigint")
+    parts = with_chances(laid.select(*keys, "long_text", "span_us", "timed", "laid_end", "laid_at", "laid_keys", "laid_codes"), keys, model)
+    schema = f"{_types(laid, keys)}, timed boolean, m bigint, pos bigint, kind int, to bigint"
+    return reduce(DataFrame.unionAll, [part.mapInArrow(run, schema) for part in parts])
 
 
 def greedy_cuts(jumps: DataFrame, keys: list[str]) -> DataFrame:

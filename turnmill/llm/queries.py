@@ -25,8 +25,8 @@ def _turn_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ends of the sentences of every current turn."""
-    laid = durable(lay_out_all(_turn_texts(spark, sf_dir), TURN, "text"))
-    out = sentences(laid, TURN, train(laid, table(spark, sf_dir, "turns")))
+    laid = durable(lay_out_all(_turn_texts(spark, sf_dir), TURN, "text", said=True))
+    out = sentences(laid, TURN, train(laid, laid))
     return out.select("transcript_id", F.col("turn_index").cast("long").alias("turn_index"), F.col("end_char"))
 
 

@@ -10,6 +10,7 @@ In a text that writes sentence marks, gaps without one are pruned: no boundary c
 sentence marks, and in Han and kana written without any, the gaps are the spaces. In other texts without a single mark
 the boundary is looked for between all words (``turnmill.llm.unmarked``). Counts are kept in tables of a given number of
 bins (BINS, a parameter of ``train``), so the model that is sent to the executors has one size whatever the corpus.
+The counts of the model of texts without marks are exact and stay tables (``with_chances``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,14 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.llm.scan import scan
-from turnmill.llm.unmarked import Unmarked
+from turnmill.llm.unmarked import COUNTED, GRAM, Tables, Unmarked, asked_grams, count_grams
+from turnmill.operators.current import beside
 
 #: Bins of each count table; with three float32 tables a model is at most 3 * BINS * 4 bytes.
 BINS = 1 << 17
 #: Rounds of expectation maximisation.
 ROUNDS = 3
-#: Texts that write marks, and the longest of them in characters, on which the model of texts without marks is fitted.
-SAMPLE, SAMPLE_CHARS = 20_000, 2_000
 
 _CLOSE = "\"'”’“‘»›«‹)]}）】」』〉》"
 _GREEK = "Ͱ-Ͽἀ-῿"
@@ -43,6 +44,8 @@ _CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ"
 #: Sentence marks; where a text is plain ASCII the short set will do.
 _MARKS_ASCII = re.compile(r"[.!?]+")
 _MARKS = re.compile(rf"[.!?…։。！？｡।॥؟۔።;;]+|(?<=[{_BARE}])[ \u200b\u00a0]+(?=\S)")
+#: Any sentence mark, inside of words and numbers too.
+_ANY_MARK = re.compile("[.!?…։。！？｡।॥؟۔;]")
 _CJK_SPACES = re.compile(rf"(?<=[{_CJK}])[ \u3000]+(?=[{_CJK}])")
 #: Marks whose writer would write sentence marks too.
 _OTHER_MARKS = re.compile("[,;:،、，“”„«»「」]")
@@ -103,9 +106,9 @@ def _quiet(text: str, p: int, stop: int, spans: list[tuple[int, int, int]], k: i
 Gap = tuple[int, str, int]
 
 
-def lay_out(text: str) -> tuple[int, list[Gap]] | None:
+def lay_out(text: str, spans: list[tuple[int, int, int]] | None = None) -> tuple[int, list[Gap]] | None:
     """Where speech ends, and the gaps of a text past its label, clock times and remarks; None where nothing is said."""
-    spans = scan(text)
+    spans = scan(text) if spans is None else spans
     size = end = len(text)
     i = len(spans) - 1
     while end > 0:
@@ -156,6 +159,11 @@ def _word_gaps(text: str, end: int, spans: list[tuple[int, int, int]]) -> list[G
     return [(a[0], f"{a[1]}\t\t{b[1]}", 4) for a, b in zip(words, words[1:])]
 
 
+def _gap_words(keys: list[str]) -> list[str]:
+    """The words of a text with a gap between all of them."""
+    return [k.split("\t")[0] for k in keys] + [keys[-1].split("\t")[2]]
+
+
 def _gaps(text: str, end: int, spans: list[tuple[int, int, int]], marks: re.Pattern) -> list[Gap]:
     """The gaps at marks in what is said."""
     gaps: list[Gap] = []
@@ -300,15 +308,15 @@ UNCLEAR = 0.1
 class Model:
     """Count tables of boundary and no boundary, and their logarithmic odds."""
 
-    def __init__(self, left: np.ndarray, right: np.ndarray, step: np.ndarray, unmarked: Unmarked | None = None):
+    def __init__(self, left: np.ndarray, right: np.ndarray, step: np.ndarray, unmarked: Unmarked | Tables | None = None):
         self.left, self.right, self.step, self.unmarked = left, right, step, unmarked
         self.bins = left.shape[1]
         self._n = right[:, _hash("\x05") % self.bins] + 1e-9
         self._cache: dict[str, float] = {}
 
     def sendable(self) -> tuple:
-        """What the executors make the model of."""
-        return self.left.astype(np.float32), self.right.astype(np.float32), self.step, self.unmarked
+        """What the executors make the model of; texts without marks bring what they asked its tables for (``with_chances``)."""
+        return self.left.astype(np.float32), self.right.astype(np.float32), self.step, self.unmarked.shell() if isinstance(self.unmarked, Tables) else self.unmarked
 
     def odds(self, key: str) -> float:
         """log P(boundary | words) - log P(none | words), without the event before."""
@@ -331,12 +339,14 @@ class Model:
         self._cache[key] = x
         return x
 
-    def posteriors(self, keys: list[str], codes: list[int]) -> list[float]:
-        """Forward and backward passes over the gaps of one text."""
+    def posteriors(self, keys: list[str], codes: list[int], chances: list[dict] | None = None) -> list[float]:
+        """Forward and backward passes over the gaps of one text; ``chances`` as of ``with_chances``."""
         n = len(keys)
         if keys[0].split("\t")[1] == "":
-            words = [k.split("\t")[0] for k in keys] + [keys[-1].split("\t")[2]]
-            return self.unmarked.posteriors(words) if self.unmarked else [0.0] * n
+            if not self.unmarked:
+                return [0.0] * n
+            known = self.unmarked if chances is None else self.unmarked.knowing({tuple(c[g] for g in GRAM): c["p"] for c in chances})
+            return known.posteriors(_gap_words(keys))
         odds = self.odds
         e = [math.exp(min(max(odds(k), -30.0), 30.0)) for k in keys]
         if n == 1:
@@ -358,12 +368,12 @@ class Model:
             b = (t[1][0] + t[1][1] * y) / (t[0][0] + t[0][1] * y)
         return out
 
-    def ends(self, end: int, at: list[int], keys: list[str], codes: list[int]) -> list[int]:
+    def ends(self, end: int, at: list[int], keys: list[str], codes: list[int], chances: list[dict] | None = None) -> list[int]:
         """Sentence ends of a text that was laid out."""
         out = []
         if keys:
             quiet = True
-            for x, p, c in zip(at, self.posteriors(keys, codes), codes):
+            for x, p, c in zip(at, self.posteriors(keys, codes, chances), codes):
                 quiet = quiet and c & 1 == 1
                 if p > 0.5 and not quiet:  # hesitation sounds alone make no sentence before another
                     out.append(x)
@@ -422,27 +432,31 @@ def _types(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"`{k}` {kinds[k]}" for k in keys)
 
 
-def lay_out_all(df: DataFrame, keys: list[str], column: str, silent: bool = False) -> DataFrame:
+def lay_out_all(df: DataFrame, keys: list[str], column: str, silent: bool = False, said: bool = False) -> DataFrame:
     """``keys`` with the gaps of each text. Texts in which nothing is said are left out, or with ``silent`` kept with a
-    null end and no gaps. Other columns are not read."""
+    null end and no gaps. With ``said`` also what is said between the gaps (``said_parts``). Other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            laid = [lay_out(t) if t else None for t in b.column(len(keys)).to_pylist()]
+            texts = b.column(len(keys)).to_pylist()
+            spans = [scan(t) if t else None for t in texts]
+            laid = [lay_out(t, s) if t else None for t, s in zip(texts, spans)]
             at = [i for i, x in enumerate(laid) if silent or x is not None]
-            said = [laid[i] or (None, []) for i in at]
+            spoken = [laid[i] or (None, []) for i in at]
             take = pa.array(at, pa.int32())
-            size = np.fromiter((len(g) for _, g in said), np.int32, len(said))
+            size = np.fromiter((len(g) for _, g in spoken), np.int32, len(spoken))
             offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
-            flat = [g for _, gs in said for g in gs]
+            flat = [g for _, gs in spoken for g in gs]
             cols = {k: b.column(i).take(take) for i, k in enumerate(keys)}
-            cols["laid_end"] = pa.array([e for e, _ in said], pa.int32())
+            cols["laid_end"] = pa.array([e for e, _ in spoken], pa.int32())
             cols["laid_at"] = pa.ListArray.from_arrays(offsets, pa.array([g[0] for g in flat], pa.int32()))
             cols["laid_keys"] = pa.ListArray.from_arrays(offsets, pa.array([g[1] for g in flat], pa.string()))
             cols["laid_codes"] = pa.ListArray.from_arrays(offsets, pa.array([g[2] for g in flat], pa.int32()))
+            if said:
+                cols["laid_said"] = pa.array([said_parts(texts[i], spans[i], *laid[i]) if laid[i] else None for i in at], pa.list_(pa.string()))
             yield pa.RecordBatch.from_pydict(cols)
 
-    return df.select(*keys, F.col(column).cast("string")).mapInArrow(run, f"{_types(df, keys)}, {LAID}")
+    return df.select(*keys, F.col(column).cast("string")).mapInArrow(run, f"{_types(df, keys)}, {LAID}{', laid_said array<string>' if said else ''}")
 
 
 def _sum_tables(sums: pd.DataFrame, bins: int) -> tuple[np.ndarray, np.ndarray]:
@@ -458,8 +472,8 @@ def train(laid: DataFrame, texts: DataFrame | None = None, column: str = "text",
 
     Only bin sums, a fixed number, come to the driver. No rows at all give a model of shapes. Words that share a bin share
     their counts: at 2^17 bins and 60,000 different words one in three does; ``bins`` is to grow with the vocabulary.
-    Where texts without any mark occur, their model is fitted on SAMPLE of ``texts`` (by hash of the text) that have marks
-    and at most SAMPLE_CHARS characters; without ``texts`` no boundary is found inside such texts.
+    Where texts without any mark occur, their model is fitted on all ``texts`` that have marks, in ``column`` or laid out
+    with what they say; without ``texts`` no boundary is found inside such texts.
     """
     from turnmill.session import durable
 
@@ -489,33 +503,96 @@ def train(laid: DataFrame, texts: DataFrame | None = None, column: str = "text",
         sent.unpersist()
     model.step = step_factors(_step_counts(laid, model)).tolist()
     if texts is not None and counts.where(F.col("key").contains("\t\t")).limit(1).count():
-        model.unmarked = fit_unmarked(texts.select(F.col(column).cast("string").alias("t")), model)
+        if "laid_said" not in texts.columns:
+            texts = lay_out_all(texts.select(F.lit(0).alias("k"), F.col(column).alias("t")), ["k"], "t", said=True)
+        model.unmarked = fit_unmarked(texts, model)
     return model
 
 
+def _bare_word(word: str) -> str:
+    """A word without marks at its edges, digits alike."""
+    return _plain(word).strip(".!?…։。！？｡।॥؟۔،؛-–—'" + _TRIM)
+
+
+def said_parts(text: str, spans: list[tuple[int, int, int]], end: int, gaps: list[Gap]) -> list[str] | None:
+    """What is said before each gap and after the last in a text that writes marks, past labels, remarks, times and sounds; None of other texts."""
+    if not gaps or gaps[0][1].split("\t")[1] == "" or not _ANY_MARK.search(text):
+        return None
+    out, p, k, n = [], 0, 0, len(spans)
+    for e in (*(g[0] for g in gaps), end):
+        while k < n and spans[k][1] <= p:
+            k += 1
+        if k == n or spans[k][0] >= e:
+            out.append(text[p:e])
+        else:
+            words = []
+            for m in _ANY_WORD.finditer(text, p, e):
+                while k < n and spans[k][1] <= m.start():
+                    k += 1
+                if k == n or spans[k][0] >= m.end():
+                    words.append(m.group())
+            out.append((" " if text[p].isspace() else "") + " ".join(words))
+        p = e
+    return out
+
+
+def _said_sentences(said: list[str], ends: list[int], at: list[int]) -> list[list[str]]:
+    """The words of each sentence, with their marks; ``said`` as of ``said_parts``, ``ends`` as of ``Model.ends``."""
+    stops, out, parts = set(ends), [], []
+    for part, e in zip(said, (*at, ends[-1])):
+        parts.append(part)
+        if e in stops:
+            one = "".join(parts)
+            out.append(one.split() if one.isascii() else _ANY_WORD.findall(one))
+            parts = []
+    return out
+
+
 def sentence_words(text: str, model: Model) -> list[list[str]]:
     """The words of each sentence of a text that writes marks, without them; none of other texts."""
-    laid = lay_out(text)
-    if laid is None or not laid[1] or laid[1][0][1].split("\t")[1] == "":
+    spans = scan(text)
+    end, gaps = lay_out(text, spans) or (0, [])
+    said = said_parts(text, spans, end, gaps)
+    if said is None:
         return []
-    spans, out, p, k = scan(text), [], 0, 0
-    for e in model.ends(laid[0], [g[0] for g in laid[1]], [g[1] for g in laid[1]], [g[2] for g in laid[1]]):
-        words = []
-        for m in _ANY_WORD.finditer(text, p, e):
-            while k < len(spans) and spans[k][1] <= m.start():
-                k += 1
-            w = _plain(m.group()).strip(".!?…։。！？｡।॥؟۔،؛-–—'" + _TRIM)
-            if w and (k == len(spans) or spans[k][0] >= m.end()):
-                words.append(w)
-        out.append(words)
-        p = e
-    return out
+    at = [g[0] for g in gaps]
+    return [[w for w in map(_bare_word, s) if w] for s in _said_sentences(said, model.ends(end, at, [g[1] for g in gaps], [g[2] for g in gaps]), at)]
+
+
+def fit_unmarked(laid: DataFrame, model: Model) -> Tables:
+    """The model of texts without marks, from all texts with marks that were laid out with what they say, whatever their number and length."""
+    sent = laid.sparkSession.sparkContext.broadcast(model.sendable())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*sent.value)
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        return count_grams((_said_sentences(said, m.ends(end, at, ks, codes), at) for said, end, at, ks, codes in rows), _bare_word)
+
+    return Tables(laid.where("laid_said is not null").select("laid_said", "laid_end", "laid_at", "laid_keys", "laid_codes").mapInArrow(run, COUNTED))
+
 
+def with_chances(laid: DataFrame, keys: list[str], model: Model) -> list[DataFrame]:
+    """``laid`` in parts: the texts with marks as they are, those without any with ``laid_chances`` at the end, what the tables of
+    the model say on their words. All in one where the model has no tables."""
+    if not isinstance(model.unmarked, Tables):
+        return [laid]
+    from turnmill.session import durable
+
+    n = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            grams = [asked_grams(_gap_words(ks)) for ks in b.column(n).to_pylist()]
+            take = pa.array(np.repeat(np.arange(len(grams)), [len(g) for g in grams]))
+            cols = {k: b.column(i).take(take) for i, k in enumerate(keys)}
+            for i, name in enumerate(GRAM):
+                cols[name] = pa.array([g[i] for gs in grams for g in gs], pa.string())
+            yield pa.RecordBatch.from_pydict(cols)
 
-def fit_unmarked(texts: DataFrame, model: Model, sample: int = SAMPLE, most: int = SAMPLE_CHARS) -> Unmarked:
-    """The model of texts without marks, from a bounded sample of those with marks (column ``t``)."""
-    rows = texts.where(F.length("t").between(1, most) & F.col("t").rlike("[.!?…։。！？।؟۔;]")).orderBy(F.xxhash64("t"), "t").limit(sample).collect()  # at most SAMPLE
-    return Unmarked().fit(sentence_words(r["t"], model) for r in rows)
+    bare = F.coalesce(F.get("laid_keys", F.lit(0)).contains("\t\t"), F.lit(False))
+    asked = durable(laid.where(bare).select(*keys, "laid_keys").mapInArrow(run, f"{_types(laid, keys)}, {', '.join(f'{g} string' for g in GRAM)}"))
+    known = asked.join(model.unmarked.chances(asked.select(*GRAM).distinct()), GRAM).groupBy(*keys).agg(F.collect_list(F.struct(*GRAM, "p")).alias("laid_chances"))
+    return [laid.where(~bare), beside(laid.where(bare), known, keys)]
 
 
 def _step_counts(laid: DataFrame, model: Model) -> np.ndarray:
@@ -561,7 +638,7 @@ def sentences(laid: DataFrame, keys: list[str], model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*sent.value)
         for b in batches:
-            ends = [m.ends(*x) for x in zip(*(b.column(n + i).to_pylist() for i in range(4)))]
+            ends = [m.ends(*x) for x in zip(*(c.to_pylist() for c in b.columns[n:]))]
             counts = np.fromiter((len(e) for e in ends), np.int64, len(ends))
             at = pa.array(np.repeat(np.arange(len(ends)), counts))
             cols = {k: b.column(i).take(at) for i, k in enumerate(keys)}
@@ -570,4 +647,6 @@ def sentences(laid: DataFrame, keys: list[str], model: Model) -> DataFrame:
             cols["end_char"] = pa.array([x for e in ends for x in e], pa.int64())
             yield pa.RecordBatch.from_pydict(cols)
 
-    return laid.select(*keys, "laid_end", "laid_at", "laid_keys", "laid_codes").mapInArrow(run, f"{_types(laid, keys)}, sentence_no int, start_char bigint, end_char bigint")
+    parts = with_chances(laid.select(*keys, "laid_end", "laid_at", "laid_keys", "laid_codes"), keys, model)
+    schema = f"{_types(laid, keys)}, sentence_no int, start_char bigint, end_char bigint"
+    return reduce(DataFrame.unionAll, [part.mapInArrow(run, schema) for part in parts])
