@@ -89,3 +89,22 @@ def test_sentences_before_words(spark):
             if p.cut != C.NATURAL:
                 assert not [e for e in ends if at < e <= at + 100]
             at = p.end_char
+
+
+def test_turns_without_marks_are_cut_by_all_current_turns(spark, tmp_path):
+    """Ends in an oversized turn without marks are learned from all current turns, long ones too and none twice, and from no old ones."""
+    said = ["the court met at noon", "it rose today", "we agree again"]
+    bare = " ".join(said * 40)
+    marked = " ".join(s.capitalize() + "." for s in said * 60)
+    odd = " ".join(["The court met at. Noon it rose. Today we agree. Again the court met at. Noon it rose. Today we agree."] * 9)
+    rows = [(1, 0, bare, 2), (1, 1, marked, 2), (1, 1, marked, 2)] + [(1, i, odd, 1) for i in range(2, 80)] + [(1, i, "Nobody spoke.", 2) for i in range(2, 80)]
+    df = spark.createDataFrame(rows, "transcript_id long, turn_index int, text string, v int")
+    df = df.selectExpr("transcript_id", "turn_index", "text", "cast(null as double) start", "cast(null as double) stop", "cast(null as double) duration", "timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, v) loaded_at")
+    df.write.parquet(f"{tmp_path}/turns.parquet")
+    spark.createDataFrame([("turn", "chars", 1000, 100), ("turn", "seconds", 30, 2)], "item string, unit string, limit_value int, overlap_value int").write.parquet(f"{tmp_path}/size_limits.parquet")
+    got = [p for p in turn_pieces(spark, str(tmp_path)).where("turn_index = 0").orderBy("piece_no").collect()]
+    ends, at = [], -1
+    for s in said * 40:
+        at += 1 + len(s)
+        ends.append(at)
+    assert len(got) > 1 and {p.cut for p in got} == {C.NATURAL} and {p.end_char for p in got} <= set(ends)

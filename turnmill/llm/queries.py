@@ -42,7 +42,8 @@ def turn_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = current_rows(table(spark, sf_dir, "turns").select(*cols), TURN, "loaded_at", [F.col("text"), F.col("start"), F.col("stop"), F.col("duration")])
     sized = oversized(now, "text", "start", "stop", "duration", limits).withColumn("long_text", F.when(F.col("over"), F.col("text")))
     laid = durable(lay_out_all(sized, [*TURN, "over", "span_us", "size", "timed", "long_text"], "text", silent=True))
-    return split_oversized(laid.where("over"), TURN, train(laid, table(spark, sf_dir, "turns")), limits)
+    every = lay_out_all(now, TURN, "text", said=True)  # read only where an oversized turn writes no marks
+    return split_oversized(laid.where("over"), TURN, train(laid, every), limits)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
